@@ -44,7 +44,7 @@ def events_to_bronze(events: DataFrame) -> DataFrame:
     slot = n % 12
     base = (events
             .select(n.alias("n"), F.col("ts").cast("timestamp").alias("ts0"),
-                    slot.alias("slot"), ((n - slot) / 12).cast("bigint").alias("pid"))
+                    slot.alias("slot"), F.expr("(event_id - event_id % 12) div 12").alias("pid"))
             .filter(~((F.col("slot") == 11) & (F.col("pid") % 4 >= 2)))
             .withColumn("copy", F.explode(F.when(F.col("n") % 7 == 0, F.array(F.lit(0), F.lit(1)))
                                           .otherwise(F.array(F.lit(0)))))
