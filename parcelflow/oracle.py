@@ -33,7 +33,7 @@ def _cols(prefix: str = "") -> str:
 
 
 def silver_ctes(name: str = "silver", as_of: str = AS_OF, days: int = DAYS,
-                latest_per_type: bool = True) -> str:
+                latest_per_type: bool = True, extra_where: str = "") -> str:
     """CTEs ``bronze_<name>`` ... ``<name>`` computing silver_parcel_events."""
     casts = ", ".join(f"CAST({c} AS TIMESTAMP) AS {c}" if c in _TS else c for c in BRONZE_COLUMNS)
     s = f"""
@@ -42,6 +42,7 @@ def silver_ctes(name: str = "silver", as_of: str = AS_OF, days: int = DAYS,
   SELECT {casts}, CAST(CAST(event_ts AS TIMESTAMP) AS DATE) AS event_date
   FROM {name}_bronze
   WHERE CAST(CAST(event_ts AS TIMESTAMP) AS DATE) BETWEEN DATE '{_start(as_of, days)}' AND DATE '{as_of}'
+  {extra_where}
 ),
 {name}_d1 AS (
   SELECT {_cols()} FROM (
@@ -69,26 +70,32 @@ def _window_where(as_of=AS_OF, days=DAYS) -> str:
     return f"CAST(event_ts AS DATE) BETWEEN DATE '{_start(as_of, days)}' AND DATE '{as_of}'"
 
 
-DEPOT_VISITS_CTE = f"""
-depot_scans AS (
+def depot_visits_cte(name: str = "depot_visits", src: str = "silver", as_of: str = AS_OF,
+                     days: int = DAYS, extra_where: str = "") -> str:
+    return f"""
+{name}_scans AS (
   SELECT event_id, parcel_id, depot_id, event_type, sequence_no, event_ts
-  FROM silver
-  WHERE {_window_where()} AND event_type IN ('SCAN_IN_DEPOT', 'SCAN_OUT_DEPOT') AND depot_id IS NOT NULL
+  FROM {src}
+  WHERE {_window_where(as_of, days)} AND event_type IN ('SCAN_IN_DEPOT', 'SCAN_OUT_DEPOT')
+    AND depot_id IS NOT NULL {extra_where}
 ),
-paired AS (
+{name}_paired AS (
   SELECT parcel_id, depot_id, event_ts AS in_depot_ts, event_type AS curr_type,
     LEAD(event_ts) OVER (PARTITION BY parcel_id, depot_id ORDER BY event_ts, sequence_no, event_id) AS out_depot_ts,
     LEAD(event_type) OVER (PARTITION BY parcel_id, depot_id ORDER BY event_ts, sequence_no, event_id) AS next_type
-  FROM depot_scans
+  FROM {name}_scans
 ),
-depot_visits AS (
+{name} AS (
   SELECT parcel_id, depot_id, in_depot_ts, out_depot_ts,
     date_sub('minute', in_depot_ts, out_depot_ts) AS dwell_minutes,
     CAST(in_depot_ts AS DATE) AS event_date
-  FROM paired
+  FROM {name}_paired
   WHERE curr_type = 'SCAN_IN_DEPOT' AND next_type = 'SCAN_OUT_DEPOT' AND out_depot_ts IS NOT NULL
 )"""
 
+
+DEPOT_VISITS_CTE = depot_visits_cte()
+
 ETA_CTE = f"""
 eta_events AS (
   SELECT event_id, parcel_id, route_id, depot_id, courier_id, merchant_id, source,
@@ -209,3 +216,46 @@ SELECT parcel_id, min(depot_id) AS depot_id, min(courier_id) AS courier_id, min(
     AS first_attempt_success
 FROM attempts GROUP BY parcel_id""",
 }
+
+
+# -- incremental builds (two batches: as_of 2024-01-15, then 2024-01-31) -----
+
+INC1_AS_OF = "2024-01-15"
+
+
+def _latest_all(src: str) -> str:
+    return f"""SELECT {_cols()} FROM (
+    SELECT *, ROW_NUMBER() OVER (PARTITION BY parcel_id ORDER BY {NEWEST}) AS rn FROM {src}
+  ) t WHERE rn = 1"""
+
+
+_INC_SILVER = (
+    silver_ctes("b1", INC1_AS_OF, DAYS),
+    "hw1 AS (SELECT max(event_ts) AS hw FROM b1)",
+    silver_ctes("b2", AS_OF, DAYS, extra_where="AND event_ts > (SELECT hw FROM hw1)"),
+    f"""silver_final AS (
+  SELECT {_cols()} FROM b1 WHERE NOT EXISTS (SELECT 1 FROM b2 WHERE b2.event_id = b1.event_id)
+  UNION ALL SELECT {_cols()} FROM b2)""",
+)
+
+ORACLE["j2_silver_events_incremental"] = _with(*_INC_SILVER) + "\nSELECT * FROM silver_final"
+
+ORACLE["j2_silver_latest_incremental"] = _with(
+    *_INC_SILVER,
+    f"latest1 AS ({_latest_all('b1')})",
+    """changed AS (SELECT DISTINCT parcel_id FROM silver_final
+  WHERE event_ts > COALESCE((SELECT max(event_ts) FROM latest1), TIMESTAMP '1970-01-01 00:00:00'))""",
+    f"latest2 AS ({_latest_all('(SELECT * FROM silver_final WHERE parcel_id IN (SELECT parcel_id FROM changed))')})",
+) + f"""
+SELECT {_cols()} FROM latest1 WHERE parcel_id NOT IN (SELECT parcel_id FROM latest2)
+UNION ALL SELECT {_cols()} FROM latest2"""
+
+ORACLE["j2_fact_depot_visits_incremental"] = _with(
+    *_INC_SILVER,
+    depot_visits_cte("f1", "b1", INC1_AS_OF, DAYS),
+    depot_visits_cte("f2", "silver_final", AS_OF, DAYS,
+                     "AND CAST(event_ts AS DATE) > (SELECT COALESCE(max(event_date), DATE '1970-01-01') FROM f1)"),
+) + """
+SELECT * FROM f1 WHERE NOT EXISTS (
+  SELECT 1 FROM f2 WHERE f2.parcel_id = f1.parcel_id AND f2.depot_id = f1.depot_id AND f2.in_depot_ts = f1.in_depot_ts)
+UNION ALL SELECT * FROM f2"""

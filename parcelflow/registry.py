@@ -13,8 +13,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from .plans import facts, gold, silver, snapshots
-from .session import configure
+from .plans import build, facts, gold, silver, snapshots
+from .session import configure, scratch_path
 from .sources.fixtures import bronze_from_dir
 
 AS_OF = "2024-01-31"
@@ -112,6 +112,46 @@ def q19(spark, d):
     return gold.vw_first_attempt_success(q06(spark, d))
 
 
+INC1_AS_OF = "2024-01-15"
+
+
+def _incremental_silver(spark, d, name):
+    """Two silver batches (as_of 2024-01-15, then 2024-01-31) merged by
+    event_id into a fresh table under the shared folder."""
+    configure(spark)
+    base = scratch_path(spark, name)
+    bronze = bronze_from_dir(spark, d)
+    for as_of in (INC1_AS_OF, AS_OF):
+        build.run_silver_events(spark, bronze, f"{base}/silver_parcel_events", as_of, DAYS)
+    return base
+
+
+def j2_silver_events(spark, d):
+    base = _incremental_silver(spark, d, "j2_silver_events")
+    return spark.read.parquet(f"{base}/silver_parcel_events")
+
+
+def j2_silver_latest(spark, d):
+    configure(spark)
+    base = scratch_path(spark, "j2_silver_latest")
+    bronze = bronze_from_dir(spark, d)
+    for as_of in (INC1_AS_OF, AS_OF):
+        build.run_silver_events(spark, bronze, f"{base}/silver_parcel_events", as_of, DAYS)
+        build.run_silver_latest(spark, f"{base}/silver_parcel_events", f"{base}/silver_parcel_latest")
+    return spark.read.parquet(f"{base}/silver_parcel_latest")
+
+
+def j2_fact_depot_visits(spark, d):
+    configure(spark)
+    base = scratch_path(spark, "j2_fact_depot_visits")
+    bronze = bronze_from_dir(spark, d)
+    for as_of in (INC1_AS_OF, AS_OF):
+        build.run_silver_events(spark, bronze, f"{base}/silver_parcel_events", as_of, DAYS)
+        build.run_fact(spark, "fact_depot_visits", f"{base}/silver_parcel_events",
+                       f"{base}/fact_depot_visits", as_of, DAYS)
+    return spark.read.parquet(f"{base}/fact_depot_visits")
+
+
 QUERIES: dict[str, Query] = {
     "q01_silver_parcel_events": q01,
     "q02_silver_parcel_latest": q02,
@@ -132,4 +172,7 @@ QUERIES: dict[str, Query] = {
     "q17_vw_depot_dwell_p95": q17,
     "q18_vw_eta_error_p95": q18,
     "q19_vw_first_attempt_success": q19,
+    "j2_silver_events_incremental": j2_silver_events,
+    "j2_silver_latest_incremental": j2_silver_latest,
+    "j2_fact_depot_visits_incremental": j2_fact_depot_visits,
 }
