@@ -12,6 +12,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 RFC3339_MICROS = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'"
+# Strict base64: alphabet only, padded to a multiple of four, no whitespace.
+BASE64_RE = r"^([A-Za-z0-9+/]{4})*([A-Za-z0-9+/]{2}==|[A-Za-z0-9+/]{3}=)?$"
 
 
 def col(c) -> Column:
@@ -80,7 +82,8 @@ def decode_payload(c) -> Column:
     Text that is not valid base64, or whose decoded bytes are not valid
     UTF-8, falls through to the raw value."""
     raw = col(c).cast("string")
-    decoded = F.try_validate_utf8(F.try_to_binary(raw, F.lit("base64")).cast("string"))
+    strict = raw.rlike(BASE64_RE)
+    decoded = F.when(strict, F.try_validate_utf8(F.try_to_binary(raw, F.lit("base64")).cast("string")))
     return F.coalesce(decoded, raw)
 
 

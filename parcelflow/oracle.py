@@ -13,6 +13,7 @@ import datetime as dt
 
 from .functions.contracts import BRONZE_COLUMNS
 from .sources.fixtures import BRONZE_SQL
+from .sources.messages import EXPECTED, N_CLASSES
 
 AS_OF, DAYS = "2024-01-31", 30
 SNAP1_AS_OF, SNAP1_RUN_TS = "2024-01-15", "2024-01-16 00:00:00"
@@ -259,3 +260,56 @@ ORACLE["j2_fact_depot_visits_incremental"] = _with(
 SELECT * FROM f1 WHERE NOT EXISTS (
   SELECT 1 FROM f2 WHERE f2.parcel_id = f1.parcel_id AND f2.depot_id = f1.depot_id AND f2.in_depot_ts = f1.in_depot_ts)
 UNION ALL SELECT * FROM f2"""
+
+
+# -- contracts: expected outcome per defect class (independent of parsing) ----
+
+_EXPECTED_CASE = "CASE cls " + " ".join(f"WHEN {k} THEN '{v}'" for k, v in EXPECTED.items()) + " ELSE '' END"
+_MSG = (
+    f"bronze AS ({BRONZE_SQL})",
+    f"""msgs AS (
+  SELECT *, concat(event_id, '#', CAST(epoch_us(event_ts) AS VARCHAR)) AS msg_id,
+    CAST(CAST(regexp_extract(event_id, '(\\d+)$', 1) AS BIGINT) % {N_CLASSES} AS INTEGER) AS cls
+  FROM bronze)""",
+    f"expected AS (SELECT *, {_EXPECTED_CASE} AS rules FROM msgs)",
+)
+
+ORACLE["c4_contract_validation"] = _with(*_MSG) + """
+SELECT msg_id, cls, rules = '' AS is_valid, rules FROM expected"""
+
+ORACLE["c1_conform_bronze"] = _with(*_MSG) + "\nSELECT msg_id, " + ", ".join(
+    "CASE WHEN cls = 14 THEN CAST(1 AS BIGINT) ELSE sequence_no END AS sequence_no" if c == "sequence_no" else c
+    for c in BRONZE_COLUMNS) + "\nFROM expected WHERE rules = ''"
+
+ORACLE["s6_quarantine_by_rule"] = _with(*_MSG) + """,
+v AS (SELECT unnest(string_split(rules, ',')) AS pr FROM expected WHERE rules <> '')
+SELECT split_part(pr, ':', 1) AS path, split_part(pr, ':', 2) AS rule, COUNT(*) AS n
+FROM v GROUP BY 1, 2"""
+
+ORACLE["c8_infer_extras"] = _with(*_MSG) + """
+SELECT 'extra_note' AS key, 'string' AS type, COUNT(*) AS n FROM expected WHERE cls = 12 HAVING COUNT(*) > 0"""
+
+ORACLE["c10_inject_context"] = _with(f"bronze AS ({BRONZE_SQL})", """ctx AS (
+  SELECT parcel_id, min(route_id) AS r, min(courier_id) AS c, min(depot_id) AS d, min(merchant_id) AS m
+  FROM bronze GROUP BY parcel_id)""") + """
+SELECT b.event_id, b.event_ts, b.event_type,
+  CASE WHEN b.event_type IN ('LOADED_TO_VAN','OUT_FOR_DELIVERY','ETA_SET','ETA_UPDATED','DELIVERED')
+       THEN COALESCE(b.route_id, ctx.r) ELSE b.route_id END AS route_id,
+  CASE WHEN b.event_type IN ('LOADED_TO_VAN','DELIVERED') THEN COALESCE(b.courier_id, ctx.c) ELSE b.courier_id END
+    AS courier_id,
+  CASE WHEN b.event_type IN ('SCAN_IN_DEPOT','SCAN_OUT_DEPOT') THEN COALESCE(b.depot_id, ctx.d) ELSE b.depot_id END
+    AS depot_id,
+  CASE WHEN b.event_type = 'PARCEL_CREATED' THEN COALESCE(b.merchant_id, ctx.m) ELSE b.merchant_id END AS merchant_id
+FROM bronze b LEFT JOIN ctx ON b.parcel_id = ctx.parcel_id"""
+
+# Brute force: each row folds its whole ordered prefix.
+ORACLE["c11_repair_event_time"] = _with(f"bronze AS ({BRONZE_SQL})", """p AS (
+  SELECT parcel_id, event_id, sequence_no,
+    CASE WHEN sequence_no IN (2, 8) THEN event_ts - INTERVAL 30 MINUTE ELSE event_ts END AS orig_ts
+  FROM bronze)""", """w AS (
+  SELECT *, list(orig_ts) OVER (PARTITION BY parcel_id ORDER BY sequence_no, orig_ts, event_id
+    ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS l
+  FROM p)""") + """
+SELECT parcel_id, event_id, sequence_no, orig_ts,
+  list_reduce(l, lambda acc, x: CASE WHEN x < acc THEN acc + INTERVAL 1 SECOND ELSE x END) AS event_ts
+FROM w"""

@@ -13,9 +13,15 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from pyspark.sql import functions as F
+
+from .functions.contracts import BRONZE_COLUMNS
+from .functions.validate import infer_extras, split_valid, validate, with_variant
+from .operators.repair import inject_context, parcel_context, repair_event_time
 from .plans import build, facts, gold, silver, snapshots
 from .session import configure, scratch_path
 from .sources.fixtures import bronze_from_dir
+from .sources.messages import bronze_to_messages
 
 AS_OF = "2024-01-31"
 DAYS = 30
@@ -152,6 +158,66 @@ def j2_fact_depot_visits(spark, d):
     return spark.read.parquet(f"{base}/fact_depot_visits")
 
 
+# -- contracts and producer rules ----------------------------------------------
+
+def _messages(spark, d):
+    """Raw messages derived from ``events``, landed once as a table in the
+    shared folder (as a producer's messages would arrive), then read back."""
+    configure(spark)
+    path = scratch_path(spark, "messages")
+    bronze_to_messages(bronze_from_dir(spark, d)).write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
+
+
+def _rules_text(violations_col):
+    return F.array_join(F.array_sort(F.transform(
+        violations_col, lambda x: F.concat(x["path"], F.lit(":"), x["rule"]))), ",")
+
+
+def c4_contract_validation(spark, d):
+    """C3-C5, C4g, S3: every message validated; sorted ``path:rule`` list."""
+    v = validate(_messages(spark, d))
+    return v.select("msg_id", "cls", "is_valid", _rules_text(F.col("violations")).alias("rules"))
+
+
+def c1_conform_bronze(spark, d):
+    """Accepted messages typed into the wide bronze row."""
+    m = _messages(spark, d)
+    good, _ = split_valid(m, keep=("msg_id",))
+    return good.select("msg_id", *BRONZE_COLUMNS)
+
+
+def s6_quarantine_by_rule(spark, d):
+    """Rejected messages, counted per violated (path, rule)."""
+    _, rejected = split_valid(_messages(spark, d), keep=("msg_id",))
+    return (rejected.select(F.inline("violations"))
+            .groupBy("path", "rule").agg(F.count(F.lit(1)).alias("n")))
+
+
+def c8_infer_extras(spark, d):
+    """Types of producer fields outside every contract."""
+    return infer_extras(with_variant(_messages(spark, d)))
+
+
+def c10_inject_context(spark, d):
+    """Parcel context copied into events that allow but lack it."""
+    configure(spark)
+    b = bronze_from_dir(spark, d)
+    out = inject_context(b, parcel_context(b))
+    return out.select("event_id", "event_ts", "event_type", "route_id", "courier_id", "depot_id", "merchant_id")
+
+
+def c11_repair_event_time(spark, d):
+    """C11: event times of scan-out (seq 2) and ETA update (seq 8) moved 30
+    minutes back, then repaired to be non-decreasing per parcel."""
+    configure(spark)
+    b = bronze_from_dir(spark, d).select("parcel_id", "event_id", "sequence_no", "event_ts")
+    moved = F.when(F.col("sequence_no").isin(2, 8),
+                   F.timestamp_add("MINUTE", F.lit(-30), F.col("event_ts"))).otherwise(F.col("event_ts"))
+    p = b.withColumn("event_ts", moved).withColumn("orig_ts", F.col("event_ts"))
+    return repair_event_time(p).select("parcel_id", "event_id", "sequence_no", "orig_ts", "event_ts")
+
+
 QUERIES: dict[str, Query] = {
     "q01_silver_parcel_events": q01,
     "q02_silver_parcel_latest": q02,
@@ -175,4 +241,10 @@ QUERIES: dict[str, Query] = {
     "j2_silver_events_incremental": j2_silver_events,
     "j2_silver_latest_incremental": j2_silver_latest,
     "j2_fact_depot_visits_incremental": j2_fact_depot_visits,
+    "c4_contract_validation": c4_contract_validation,
+    "c1_conform_bronze": c1_conform_bronze,
+    "s6_quarantine_by_rule": s6_quarantine_by_rule,
+    "c8_infer_extras": c8_infer_extras,
+    "c10_inject_context": c10_inject_context,
+    "c11_repair_event_time": c11_repair_event_time,
 }
