@@ -313,3 +313,31 @@ ORACLE["c11_repair_event_time"] = _with(f"bronze AS ({BRONZE_SQL})", """p AS (
 SELECT parcel_id, event_id, sequence_no, orig_ts,
   list_reduce(l, lambda acc, x: CASE WHEN x < acc THEN acc + INTERVAL 1 SECOND ELSE x END) AS event_ts
 FROM w"""
+
+
+# -- streaming ----------------------------------------------------------------
+
+ORACLE["r1_stream_ingest_bronze"] = _with(*_MSG) + "\nSELECT " + ", ".join(
+    "CASE WHEN cls = 14 THEN CAST(1 AS BIGINT) ELSE sequence_no END AS sequence_no" if c == "sequence_no" else c
+    for c in BRONZE_COLUMNS) + "\nFROM expected WHERE rules = ''"
+
+ORACLE["r3_stream_archive_cold"] = ORACLE["r1_stream_ingest_bronze"]
+
+# One micro-batch per week of January: W1/W2 inside each batch, then merged
+# by event_id with the later batch winning. No row is below the high-water
+# mark, as batches arrive in time order.
+_TSC = ", ".join(f"CAST({c} AS TIMESTAMP) AS {c}" if c in _TS else c for c in BRONZE_COLUMNS)
+ORACLE["r6_stream_silver"] = _with(
+    f"bronze AS ({BRONZE_SQL})",
+    f"""src AS (SELECT {_TSC}, CAST(event_ts AS DATE) AS event_date,
+  CAST(floor((dayofmonth(event_ts) - 1) / 7) AS INTEGER) AS wk FROM bronze)""",
+    f"""d1 AS (SELECT * FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY wk, event_id ORDER BY {NEWEST}) AS rn
+  FROM src) t WHERE rn = 1)""",
+    f"""d2 AS (SELECT * EXCLUDE (rn) FROM (SELECT * EXCLUDE (rn),
+  ROW_NUMBER() OVER (PARTITION BY wk, parcel_id, event_type ORDER BY {NEWEST}) AS rn FROM d1) t WHERE rn = 1)""",
+    """merged AS (SELECT * FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY event_id ORDER BY wk DESC) AS rn2
+  FROM d2) t WHERE rn2 = 1)""",
+) + f"\nSELECT {_cols()} FROM merged"
+
+ORACLE["r7_stream_dedup"] = _with(f"bronze AS ({BRONZE_SQL})") + """
+SELECT DISTINCT event_id, parcel_id, event_type FROM bronze"""

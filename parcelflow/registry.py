@@ -21,7 +21,10 @@ from .operators.repair import inject_context, parcel_context, repair_event_time
 from .plans import build, facts, gold, silver, snapshots
 from .session import configure, scratch_path
 from .sources.fixtures import bronze_from_dir
+from .sources.bronze import read_cold
 from .sources.messages import bronze_to_messages
+from .functions.contracts import bronze_schema
+from .streaming import ingest as streaming
 
 AS_OF = "2024-01-31"
 DAYS = 30
@@ -218,6 +221,75 @@ def c11_repair_event_time(spark, d):
     return repair_event_time(p).select("parcel_id", "event_id", "sequence_no", "orig_ts", "event_ts")
 
 
+# -- streaming ------------------------------------------------------------------
+
+def _message_files(spark, d, base, n_files: int = 4) -> str:
+    """Messages derived from ``events`` landed as JSON-lines text files."""
+    src = f"{base}/source"
+    (bronze_to_messages(bronze_from_dir(spark, d)).select("raw")
+        .repartition(n_files).write.mode("overwrite").text(src))
+    return src
+
+
+def r1_stream_ingest(spark, d):
+    """Validated streaming ingest into bronze, one
+    file per micro-batch, drained with availableNow."""
+    configure(spark)
+    base = scratch_path(spark, "r1_ingest")
+    src = _message_files(spark, d, base)
+    stream = streaming.read_event_stream(spark, src, max_files_per_trigger=1)
+    q = streaming.start_ingest(stream, f"{base}/bronze", f"{base}/quarantine", f"{base}/_chk/hot")
+    streaming.drain(q)
+    return spark.read.parquet(f"{base}/bronze").select(*BRONZE_COLUMNS)
+
+
+def r3_stream_archive(spark, d):
+    """The independent cold consumer of the same messages, read back
+    from the archive layout."""
+    configure(spark)
+    base = scratch_path(spark, "r3_archive")
+    src = _message_files(spark, d, base)
+    stream = streaming.read_event_stream(spark, src, max_files_per_trigger=1)
+    streaming.drain(streaming.start_archive(stream, f"{base}/archive", f"{base}/_chk/cold"))
+    return read_cold(spark, f"{base}/archive").select(*BRONZE_COLUMNS)
+
+
+def _week_files(spark, d, base) -> str:
+    """Bronze rows written as one file per week of January, in time order,
+    so a file source with maxFilesPerTrigger=1 replays them week by week."""
+    src = f"{base}/bronze_src"
+    b = bronze_from_dir(spark, d).withColumn("__wk", F.floor((F.dayofmonth("event_ts") - 1) / 7))
+    for wk in range(5):
+        (b.filter(F.col("__wk") == wk).drop("__wk").coalesce(1)
+           .write.mode("append").parquet(src))
+    return src
+
+
+def r6_stream_silver(spark, d):
+    """Silver built incrementally from a bronze stream (one week per
+    micro-batch), merged by event_id."""
+    configure(spark)
+    base = scratch_path(spark, "r6_silver")
+    src = _week_files(spark, d, base)
+    stream = spark.readStream.schema(bronze_schema("hot")).option("maxFilesPerTrigger", 1).parquet(src)
+    q = streaming.start_silver(stream, f"{base}/silver", f"{base}/_chk/silver", AS_OF, DAYS)
+    q.awaitTermination()
+    return spark.read.parquet(f"{base}/silver")
+
+
+def r7_stream_dedup(spark, d):
+    """Redelivered copies removed in the stream (watermark 1 day)."""
+    configure(spark)
+    base = scratch_path(spark, "r7_dedup")
+    src = _week_files(spark, d, base)
+    stream = spark.readStream.schema(bronze_schema("hot")).option("maxFilesPerTrigger", 1).parquet(src)
+    out = streaming.dedup_stream(stream, "1 day").select("event_id", "parcel_id", "event_type", "event_ts")
+    q = (out.writeStream.format("parquet").option("checkpointLocation", f"{base}/_chk/dedup")
+         .outputMode("append").trigger(availableNow=True).start(f"{base}/dedup"))
+    q.awaitTermination()
+    return spark.read.parquet(f"{base}/dedup").select("event_id", "parcel_id", "event_type")
+
+
 QUERIES: dict[str, Query] = {
     "q01_silver_parcel_events": q01,
     "q02_silver_parcel_latest": q02,
@@ -247,4 +319,8 @@ QUERIES: dict[str, Query] = {
     "c8_infer_extras": c8_infer_extras,
     "c10_inject_context": c10_inject_context,
     "c11_repair_event_time": c11_repair_event_time,
+    "r1_stream_ingest_bronze": r1_stream_ingest,
+    "r3_stream_archive_cold": r3_stream_archive,
+    "r6_stream_silver": r6_stream_silver,
+    "r7_stream_dedup": r7_stream_dedup,
 }
