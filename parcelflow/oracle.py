@@ -341,3 +341,146 @@ ORACLE["r6_stream_silver"] = _with(
 
 ORACLE["r7_stream_dedup"] = _with(f"bronze AS ({BRONZE_SQL})") + """
 SELECT DISTINCT event_id, parcel_id, event_type FROM bronze"""
+
+
+# -- data tests on the driver tables -------------------------------------------
+
+def _res(test, model, kind, column, severity, failures_sql, message=None):
+    st = ("CASE WHEN f = 0 THEN 'pass' ELSE '" + ("warn" if severity == "warn" else "fail") + "' END"
+          if failures_sql else "'error'")
+    fs = failures_sql or "CAST(NULL AS BIGINT)"
+    msg = f"'{message}'" if message else "CAST(NULL AS VARCHAR)"
+    col = column.replace("'", "''")
+    test = test.replace("'", "''")
+    return (f"SELECT '{test}' AS test, '{model}' AS model, '{kind}' AS kind, '{col}' AS \"column\", "
+            f"'{severity}' AS severity, f AS failures, {st} AS status, {msg} AS message "
+            f"FROM (SELECT CAST(({fs}) AS BIGINT) AS f) t")
+
+
+_LKEY = "concat(cast(l_orderkey as string), '-', cast(l_linenumber as string))"
+ORACLE["e8_driver_table_suite"] = "\nUNION ALL\n".join([
+    _res("not_null:orders.o_orderkey", "orders", "not_null", "o_orderkey", "error",
+         "SELECT count(*) FROM orders WHERE o_orderkey IS NULL"),
+    _res("unique:orders.o_orderkey", "orders", "unique", "o_orderkey", "error",
+         "SELECT count(*) FROM (SELECT o_orderkey FROM orders WHERE o_orderkey IS NOT NULL "
+         "GROUP BY 1 HAVING count(*) > 1)"),
+    _res("accepted_values:orders.o_orderstatus", "orders", "accepted_values", "o_orderstatus", "error",
+         "SELECT count(DISTINCT o_orderstatus) FROM orders WHERE o_orderstatus NOT IN ('F', 'O')"),
+    _res("relationships:orders.o_custkey->customer.c_custkey", "orders", "relationships", "o_custkey", "error",
+         "SELECT count(*) FROM orders WHERE o_custkey IS NOT NULL AND o_custkey NOT IN "
+         "(SELECT c_custkey FROM customer WHERE c_custkey IS NOT NULL)"),
+    _res("not_null:lineitem.l_shipdate", "lineitem", "not_null", "l_shipdate", "error",
+         "SELECT count(*) FROM lineitem WHERE l_shipdate IS NULL"),
+    _res(f"unique:lineitem.{_LKEY}", "lineitem", "unique", _LKEY, "error",
+         "SELECT count(*) FROM (SELECT l_orderkey, l_linenumber FROM lineitem "
+         "WHERE l_orderkey IS NOT NULL AND l_linenumber IS NOT NULL GROUP BY 1, 2 HAVING count(*) > 1)"),
+    _res("accepted_values:lineitem.l_returnflag", "lineitem", "accepted_values", "l_returnflag", "warn",
+         "SELECT count(DISTINCT l_returnflag) FROM lineitem WHERE l_returnflag NOT IN ('A', 'N', 'R')"),
+    _res("relationships:lineitem.l_orderkey->orders.o_orderkey", "lineitem", "relationships", "l_orderkey",
+         "error", "SELECT count(*) FROM lineitem WHERE l_orderkey IS NOT NULL AND l_orderkey NOT IN "
+         "(SELECT o_orderkey FROM orders WHERE o_orderkey IS NOT NULL)"),
+    _res("relationships:lineitem.l_partkey->part.p_partkey", "lineitem", "relationships", "l_partkey",
+         "error", "SELECT count(*) FROM lineitem WHERE l_partkey IS NOT NULL AND l_partkey NOT IN "
+         "(SELECT p_partkey FROM part WHERE p_partkey IS NOT NULL)"),
+    _res("relationships:lineitem.l_suppkey->supplier.s_suppkey", "lineitem", "relationships", "l_suppkey",
+         "warn", "SELECT count(*) FROM lineitem WHERE l_suppkey IS NOT NULL AND l_suppkey NOT IN "
+         "(SELECT s_suppkey FROM supplier WHERE s_suppkey IS NOT NULL)"),
+    _res("not_null:orders.o_comment", "orders", "not_null", "o_comment", "error", None,
+         "missing column o_comment"),
+])
+
+ORACLE["e7_source_freshness"] = _with(f"bronze AS ({BRONZE_SQL})", """m AS (
+  SELECT max(event_ts) AS max_loaded_at FROM bronze
+  WHERE event_ts >= TIMESTAMP '2024-01-31 00:00:00' - INTERVAL 3 DAY)""") + """
+SELECT max_loaded_at, date_sub('minute', max_loaded_at, TIMESTAMP '2024-01-31 00:00:00') AS age_minutes,
+  CASE WHEN max_loaded_at IS NULL OR date_sub('minute', max_loaded_at, TIMESTAMP '2024-01-31 00:00:00') >= 120
+       THEN 'error'
+       WHEN date_sub('minute', max_loaded_at, TIMESTAMP '2024-01-31 00:00:00') >= 30 THEN 'warn'
+       ELSE 'pass' END AS status
+FROM m"""
+
+# -- KPIs ------------------------------------------------------------------------
+
+_SA = silver_ctes("silver_all", latest_per_type=False)
+
+
+def _last_sql(value, pred):
+    return f"max_by(CASE WHEN {pred} THEN {value} END, CASE WHEN {pred} THEN event_ts END)"
+
+
+_SUMMARY = f"""summary AS (
+  SELECT parcel_id,
+    min(CASE WHEN event_type = 'PARCEL_CREATED' THEN CAST(event_ts AS DATE) END) AS created_date,
+    {_last_sql('promised_window_end', "event_type = 'PARCEL_CREATED'")} AS promised_window_end,
+    {_last_sql('service_tier', "event_type = 'PARCEL_CREATED'")} AS service_tier,
+    {_last_sql('merchant_id', "event_type = 'PARCEL_CREATED'")} AS merchant_id,
+    {_last_sql('courier_id', "event_type = 'LOADED_TO_VAN'")} AS courier_id,
+    {_last_sql('depot_id', "event_type IN ('SCAN_IN_DEPOT', 'SCAN_OUT_DEPOT')")} AS depot_id,
+    {_last_sql('first_planned_eta_ts', "event_type = 'OUT_FOR_DELIVERY'")} AS first_planned_eta_ts,
+    min(CASE WHEN event_type = 'DELIVERED' AND outcome = 'SUCCESS' THEN delivered_ts END) AS delivered_ts,
+    {_last_sql('exception_code', "event_type = 'EXCEPTION'")} AS exception_code,
+    {_last_sql('failure_reason', "event_type = 'DELIVERED' AND failure_reason IS NOT NULL")} AS failure_reason
+  FROM silver_all GROUP BY parcel_id)"""
+
+ORACLE["m1_on_time_rate"] = _with(_SA, _SUMMARY) + """
+SELECT CAST(delivered_ts AS DATE) AS delivery_date, service_tier, COUNT(*) AS delivered,
+  COUNT(*) FILTER (WHERE delivered_ts <= promised_window_end) AS on_time,
+  COUNT(*) FILTER (WHERE delivered_ts <= promised_window_end) / COUNT(*) AS on_time_rate
+FROM summary WHERE delivered_ts IS NOT NULL AND promised_window_end IS NOT NULL
+GROUP BY 1, 2"""
+
+ORACLE["m2_first_attempt_success_rate"] = _with(_SA, ATTEMPTS_CTE.replace("FROM silver", "FROM silver_all"), """
+fas AS (
+  SELECT parcel_id, min(COALESCE(CAST(attempt_ts AS DATE), event_date)) AS event_date,
+    MAX(CASE WHEN attempt_number = 1 AND UPPER(outcome) = 'SUCCESS' THEN 1 ELSE 0 END) AS first_attempt_success
+  FROM attempts GROUP BY parcel_id)""") + """
+SELECT event_date, COUNT(*) AS parcels, CAST(SUM(first_attempt_success) AS BIGINT) AS first_attempt_successes,
+  CAST(SUM(first_attempt_success) AS BIGINT) / COUNT(*) AS first_attempt_success_rate
+FROM fas GROUP BY event_date"""
+
+ORACLE["m3_eta_mae"] = _with(_SA, _SUMMARY, """
+j AS (
+  SELECT e.parcel_id, s.delivered_ts, e.generated_ts, e.predicted_delivery_ts
+  FROM silver_all e JOIN summary s ON e.parcel_id = s.parcel_id
+  WHERE e.event_type IN ('ETA_SET', 'ETA_UPDATED') AND s.delivered_ts IS NOT NULL
+    AND e.generated_ts <= s.delivered_ts)""", """
+last AS (
+  SELECT parcel_id, delivered_ts, max_by(predicted_delivery_ts, generated_ts) AS predicted_delivery_ts
+  FROM j GROUP BY parcel_id, delivered_ts)""") + """
+SELECT CAST(delivered_ts AS DATE) AS delivery_date, COUNT(*) AS parcels,
+  avg(abs(date_sub('minute', delivered_ts, predicted_delivery_ts))) AS eta_mae_min
+FROM last GROUP BY 1"""
+
+ORACLE["m4_eta_p95_enriched"] = _with(_SA, _SUMMARY, ETA_CTE.replace("FROM silver", "FROM silver_all"), """
+enriched AS (
+  SELECT e.event_ts, e.generated_ts, e.predicted_delivery_ts,
+    COALESCE(e.depot_id, s.depot_id) AS depot_id, COALESCE(e.courier_id, s.courier_id) AS courier_id,
+    COALESCE(e.merchant_id, s.merchant_id) AS merchant_id,
+    COALESCE(e.first_planned_eta_ts, s.first_planned_eta_ts) AS first_planned_eta_ts
+  FROM eta_events e LEFT JOIN summary s ON e.parcel_id = s.parcel_id)""") + """
+SELECT CAST(generated_ts AS DATE) AS event_date, depot_id, courier_id, merchant_id,
+  quantile_disc(abs(date_sub('minute', predicted_delivery_ts, first_planned_eta_ts)), 0.95) AS eta_p95_error_min
+FROM enriched WHERE event_ts IS NOT NULL AND predicted_delivery_ts IS NOT NULL
+GROUP BY 1, 2, 3, 4"""
+
+ORACLE["m5_sla_breach"] = _with(_SA, _SUMMARY) + """
+SELECT created_date, COALESCE(exception_code, failure_reason, 'NONE') AS attribution, COUNT(*) AS parcels,
+  COUNT(*) FILTER (WHERE CASE WHEN delivered_ts IS NOT NULL THEN delivered_ts > promised_window_end
+                              ELSE TIMESTAMP '2024-02-01 00:00:00' > promised_window_end END) AS breaches,
+  COUNT(*) FILTER (WHERE CASE WHEN delivered_ts IS NOT NULL THEN delivered_ts > promised_window_end
+                              ELSE TIMESTAMP '2024-02-01 00:00:00' > promised_window_end END) / COUNT(*)
+    AS breach_rate
+FROM summary WHERE promised_window_end IS NOT NULL
+GROUP BY 1, 2"""
+
+# -- bronze layout ---------------------------------------------------------------
+
+_BR = f"bronze AS ({BRONZE_SQL})"
+_BCOLS = ", ".join(BRONZE_COLUMNS)
+ORACLE["s7_read_bronze_bounded"] = _with(_BR) + f"""
+SELECT {_BCOLS} FROM bronze WHERE CAST(event_ts AS DATE) BETWEEN DATE '2024-01-08' AND DATE '2024-01-14'"""
+ORACLE["s8_expire_partitions"] = _with(_BR) + f"""
+SELECT {_BCOLS} FROM bronze WHERE CAST(event_ts AS DATE) >= DATE '2024-01-21'"""
+ORACLE["s9_union_hot_cold"] = _with(_BR) + f"\nSELECT {_BCOLS} FROM bronze"
+ORACLE["s10_publish_events"] = _with(_BR) + """
+SELECT parcel_id AS key, event_id, event_ts, sequence_no FROM bronze"""

@@ -25,6 +25,11 @@ from .sources.bronze import read_cold
 from .sources.messages import bronze_to_messages
 from .functions.contracts import bronze_schema
 from .streaming import ingest as streaming
+from .operators.quality import Check, freshness, run_suite
+from .plans import kpi, suite
+from .sources import bronze as bronze_io
+from .sources.fixtures import read_table
+from .session import shared_dir
 
 AS_OF = "2024-01-31"
 DAYS = 30
@@ -290,6 +295,120 @@ def r7_stream_dedup(spark, d):
     return spark.read.parquet(f"{base}/dedup").select("event_id", "parcel_id", "event_type")
 
 
+# -- data tests -----------------------------------------------------------------
+
+def e8_reference_suite(spark, d):
+    """The reference's 81 data tests over every model of the build."""
+    configure(spark)
+    shared_dir(spark)
+    return suite.run_reference_tests(spark, d)
+
+
+# Fixed checks over the driver tables (TPC-H-like keys), one per test kind.
+DRIVER_CHECKS = [
+    Check("orders", "not_null", "o_orderkey"),
+    Check("orders", "unique", "o_orderkey"),
+    Check("orders", "accepted_values", "o_orderstatus", ("F", "O")),
+    Check("orders", "relationships", "o_custkey", to="customer", field="c_custkey"),
+    Check("lineitem", "not_null", "l_shipdate"),
+    Check("lineitem", "unique", "concat(cast(l_orderkey as string), '-', cast(l_linenumber as string))"),
+    Check("lineitem", "accepted_values", "l_returnflag", ("A", "N", "R"), severity="warn"),
+    Check("lineitem", "relationships", "l_orderkey", to="orders", field="o_orderkey"),
+    Check("lineitem", "relationships", "l_partkey", to="part", field="p_partkey"),
+    Check("lineitem", "relationships", "l_suppkey", to="supplier", field="s_suppkey", severity="warn"),
+    Check("orders", "not_null", "o_comment"),
+]
+
+
+def e8_driver_table_suite(spark, d):
+    """E1-E6, E8 on the driver tables: not_null, unique (column and
+    expression), accepted_values, relationships, severities, missing column."""
+    tables = {t: read_table(spark, d, t) for t in ("orders", "lineitem", "customer", "part", "supplier")}
+    return run_suite(spark, tables, DRIVER_CHECKS)
+
+
+def e7_source_freshness(spark, d):
+    """Bronze freshness at 2024-01-31 00:00 over the last 3 days."""
+    configure(spark)
+    return freshness(bronze_from_dir(spark, d), "event_ts", "2024-01-31 00:00:00", 30, 120, 3)
+
+
+# -- KPIs ---------------------------------------------------------------------------
+
+def _silver_all(spark, d):
+    return _silver(spark, d, keep_latest_per_type=False)
+
+
+def m1_on_time_rate(spark, d):
+    return kpi.on_time_rate(kpi.parcel_summary(_silver_all(spark, d)))
+
+
+def m2_first_attempt_success_rate(spark, d):
+    return kpi.first_attempt_success_rate(facts.fact_parcel_delivery_attempts(_silver_all(spark, d), AS_OF, DAYS))
+
+
+def m3_eta_mae(spark, d):
+    s = _silver_all(spark, d)
+    return kpi.eta_mae(s, kpi.parcel_summary(s))
+
+
+def m4_eta_p95_enriched(spark, d):
+    s = _silver_all(spark, d)
+    eta = kpi.eta_events_enriched(facts.fact_eta_events(s, AS_OF, DAYS), kpi.parcel_summary(s))
+    return gold.vw_eta_error_p95(eta)
+
+
+def m5_sla_breach(spark, d):
+    return kpi.sla_breach(kpi.parcel_summary(_silver_all(spark, d)), "2024-02-01 00:00:00")
+
+
+# -- bronze layout --------------------------------------------------------------
+
+def _bronze_table(spark, d, name):
+    configure(spark)
+    path = scratch_path(spark, name)
+    bronze_io.append_bronze(bronze_from_dir(spark, d), path)
+    return path
+
+
+def s7_read_bronze_bounded(spark, d):
+    """S4 + S7: day-partitioned bronze, read with a mandatory date range
+    (partition pruning on event_date)."""
+    path = _bronze_table(spark, d, "s7_bronze")
+    return bronze_io.read_bronze(spark, path, "2024-01-08", "2024-01-14").select(*BRONZE_COLUMNS)
+
+
+def s8_expire_partitions(spark, d):
+    """Day partitions older than 10 days before 2024-01-31 dropped."""
+    path = _bronze_table(spark, d, "s8_bronze")
+    bronze_io.expire_partitions(spark, path, "2024-01-31", 10)
+    return spark.read.parquet(path).select(*BRONZE_COLUMNS)
+
+
+def s9_union_hot_cold(spark, d):
+    """Hot rows (before 2024-01-16) + cold archive rows (from then on,
+    archived by one backfill run at 2024-02-01 03:00), typed to one bronze
+    schema."""
+    configure(spark)
+    base = scratch_path(spark, "s9_union")
+    b = bronze_from_dir(spark, d)
+    cut = F.lit("2024-01-16").cast("timestamp")
+    bronze_io.archive_cold(b.filter(F.col("event_ts") >= cut)
+                           .withColumn("ingest_ts", F.lit("2024-02-01 03:00:00").cast("timestamp")),
+                           f"{base}/archive")
+    cold = bronze_io.read_cold(spark, f"{base}/archive")
+    return bronze_io.union_bronze(b.filter(F.col("event_ts") < cut), cold).select(*BRONZE_COLUMNS)
+
+
+def s10_publish_events(spark, d):
+    """Keyed JSON messages, read back from the value."""
+    configure(spark)
+    m = bronze_io.publish_events(bronze_from_dir(spark, d))
+    return m.select("key", F.get_json_object("value", "$.event_id").alias("event_id"),
+                    F.get_json_object("value", "$.event_ts").cast("timestamp").alias("event_ts"),
+                    "sequence_no")
+
+
 QUERIES: dict[str, Query] = {
     "q01_silver_parcel_events": q01,
     "q02_silver_parcel_latest": q02,
@@ -323,4 +442,16 @@ QUERIES: dict[str, Query] = {
     "r3_stream_archive_cold": r3_stream_archive,
     "r6_stream_silver": r6_stream_silver,
     "r7_stream_dedup": r7_stream_dedup,
+    "e8_reference_suite": e8_reference_suite,
+    "e8_driver_table_suite": e8_driver_table_suite,
+    "e7_source_freshness": e7_source_freshness,
+    "m1_on_time_rate": m1_on_time_rate,
+    "m2_first_attempt_success_rate": m2_first_attempt_success_rate,
+    "m3_eta_mae": m3_eta_mae,
+    "m4_eta_p95_enriched": m4_eta_p95_enriched,
+    "m5_sla_breach": m5_sla_breach,
+    "s7_read_bronze_bounded": s7_read_bronze_bounded,
+    "s8_expire_partitions": s8_expire_partitions,
+    "s9_union_hot_cold": s9_union_hot_cold,
+    "s10_publish_events": s10_publish_events,
 }
