@@ -10,9 +10,10 @@ rule, admits nothing (T4) unless ``null_safe=True``.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..operators.aggregates import high_water
-from ..sources.tables import exists, read_table, upsert
+from ..sources.tables import exists, partition_values, read_table, upsert
 from . import facts
 from .silver import Incremental, silver_parcel_events, silver_parcel_latest
 
@@ -31,9 +32,20 @@ FACT_CLUSTER = {
 }
 
 
-def _hw(spark: SparkSession, path: str, col: str):
-    t = read_table(spark, path)
-    return None if t is None else high_water(t, col)
+def _hw(spark: SparkSession, path: str, col: str, partition_col: str = "event_date"):
+    """High-water mark of a day-partitioned target, read from its newest
+    day only: max(event_date) is the newest partition directory, and
+    max(event_ts) lies in that partition because event_date = DATE(event_ts).
+    A listing plus one day's scan instead of a full-table aggregate."""
+    days = partition_values(spark, path, partition_col)
+    if not days:
+        t = read_table(spark, path)
+        return None if t is None else high_water(t, col)
+    newest = max(days)
+    if col == partition_col:
+        return newest
+    t = spark.read.parquet(path)
+    return high_water(t.filter(F.col(partition_col) == F.lit(newest).cast("date")), col)
 
 
 def run_silver_events(spark: SparkSession, bronze: DataFrame, path: str, as_of, days: int = 7,

@@ -22,6 +22,8 @@ one, which is atomic.
 
 from __future__ import annotations
 
+import datetime as _dt
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -46,6 +48,26 @@ def _is_table(spark: SparkSession, path: str) -> bool:
     return any(not s.getPath().getName().startswith(("_", ".")) for s in fs.listStatus(p))
 
 
+def partition_values(spark: SparkSession, path: str, partition_col: str = "event_date") -> list:
+    """Dates of the ``partition_col=YYYY-MM-DD`` directories that hold data
+    files (a listing; no data is read)."""
+    import datetime as dt
+    fs, p, jvm = _fs(spark, path)
+    if not fs.exists(p):
+        return []
+    out = []
+    for s in fs.listStatus(p):
+        name = s.getPath().getName()
+        if s.isDirectory() and name.startswith(partition_col + "="):
+            try:
+                day = dt.date.fromisoformat(name.split("=", 1)[1])
+            except ValueError:
+                continue
+            if any(not f.getPath().getName().startswith(("_", ".")) for f in fs.listStatus(s.getPath())):
+                out.append(day)
+    return out
+
+
 def materialize(df: DataFrame, path: str, partition_by=None, cluster_by=None,
                 mode: str = "overwrite", bucket=None) -> None:
     """Write a model as a table: partition directories by day,
@@ -69,12 +91,20 @@ def read_table(spark: SparkSession, path: str) -> DataFrame | None:
 
 
 def upsert(spark: SparkSession, path: str, updates: DataFrame, keys, partition_col: str = "event_date",
-           order=("event_ts", "sequence_no", "event_id"), cluster_by=None) -> dict:
+           order=("event_ts", "sequence_no", "event_id"), cluster_by=None,
+           search_days: int | None = None) -> dict:
     """Merge ``updates`` into the Parquet table at ``path`` by ``keys``
     (matched rows replaced, others inserted). Returns counts.
 
     Unlike a warehouse MERGE, a NULL key is refused rather than silently
     inserted as never-matching.
+
+    Finding the days that hold a replaced key reads only the key and
+    partition columns of the target (a semi join the updates' key side
+    drives; AQE broadcasts it when its measured size is small). By default
+    every day is searched, which is exact. ``search_days=n`` restricts the
+    search to ``n`` days around the updates' days: a bounded cost for tables
+    whose keys cannot move further than that (e.g. redelivered copies).
     """
     keys = [keys] if isinstance(keys, str) else list(keys)
     null_key = None
@@ -100,7 +130,14 @@ def upsert(spark: SparkSession, path: str, updates: DataFrame, keys, partition_c
     # Days of target rows whose key is being replaced (they may live on
     # other days than the update). The list of days is bounded by the
     # calendar, not by the data.
-    moved = (target.join(upd.select(*keys), keys, "left_semi")
+    searched = target
+    known_days = [d for d in upd_days if d is not None]
+    if search_days is not None and known_days:
+        upd_days_nn = known_days
+        lo = min(upd_days_nn) - _dt.timedelta(days=int(search_days))
+        hi = max(upd_days_nn) + _dt.timedelta(days=int(search_days))
+        searched = target.filter(F.col(partition_col).between(F.lit(lo), F.lit(hi)))
+    moved = (searched.select(*keys, partition_col).join(upd.select(*keys), keys, "left_semi")
              .select(partition_col).distinct().collect())
     touched = sorted({*upd_days, *[r[0] for r in moved]}, key=lambda d: (d is None, str(d)))
     cond = F.col(partition_col).isin([d for d in touched if d is not None])
