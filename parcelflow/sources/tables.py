@@ -69,12 +69,11 @@ def partition_values(spark: SparkSession, path: str, partition_col: str = "event
 
 
 def materialize(df: DataFrame, path: str, partition_by=None, cluster_by=None,
-                mode: str = "overwrite", bucket=None) -> None:
+                mode: str = "overwrite") -> None:
     """Write a model as a table: partition directories by day,
     rows clustered inside each file by ``cluster_by`` (sorted, so Parquet
     min/max statistics let later filters on those columns skip row groups).
-    ``bucket=(n, cols)`` hash-bucketises instead, for shuffle-free joins
-    when the table is registered in a catalog."""
+    The repartition by the partition column gives one writer task per day."""
     w = df
     if partition_by:
         w = w.repartition(*[F.col(c) for c in ([partition_by] if isinstance(partition_by, str) else partition_by)])
