@@ -99,14 +99,22 @@ def _status(n, severity):
     return "warn" if severity == "warn" else "fail"
 
 
-def _columns_of(expr: str, df: DataFrame) -> list[str]:
-    """Columns an expression needs that ``df`` lacks (analysis on the driver,
-    no data is read)."""
-    try:
-        df.select(F.expr(expr)).schema
-        return []
-    except Exception as e:  # AnalysisException: unresolved column
-        return [str(e).split("\n")[0][:200]]
+_SQL_WORDS = {"cast", "as", "string", "concat", "coalesce", "and", "or", "not", "null", "is", "lower", "upper",
+              "trim", "date", "timestamp", "bigint", "int", "long", "double"}
+
+
+def _missing_columns(expr: str, df: DataFrame) -> list[str]:
+    """Identifiers of a test expression that ``df`` does not have (checked on
+    the driver against the schema; no data is read)."""
+    import re
+    text = re.sub(r"'[^']*'", "", expr)
+    names = re.findall(r"[A-Za-z_][A-Za-z0-9_]*", text)
+    cols = {c.lower() for c in df.columns}
+    out = []
+    for n in names:
+        if n.lower() not in _SQL_WORDS and n.lower() not in cols and n not in out:
+            out.append(n)
+    return out
 
 
 def run_suite(spark: SparkSession, tables: dict[str, DataFrame], checks) -> DataFrame:
@@ -137,9 +145,9 @@ def run_suite(spark: SparkSession, tables: dict[str, DataFrame], checks) -> Data
                     counters.append(F.count_distinct(F.when(bad, F.col(c.column))).alias(f"c{i}"))
                 pending.append((i, c))
             elif c.kind == "unique":
-                missing = _columns_of(c.column, df)
+                missing = _missing_columns(c.column, df)
                 if missing:
-                    results[c] = (None, f"missing column: {missing[0]}")
+                    results[c] = (None, f"missing column {missing[0]}")
                     continue
                 results[c] = (unique(df, c.column).count(), None)
             elif c.kind == "relationships":

@@ -127,28 +127,33 @@ STG_MERCHANT = f"""
   ) t WHERE rn = 1"""
 
 
-def _scd2_two_runs(stg: str, key: str, check_cols, attrs) -> str:
-    """Snapshot after run 1 (all rows open) and run 2 (close changed or
-    deleted keys, open new or changed keys)."""
+def _snap_fragments(stg: str, key: str, check_cols, attrs, p: str = "", s1: str = "s1", s2: str = "s2") -> list:
+    """CTEs of the snapshot after run 1 (all rows open) and run 2 (close
+    changed or deleted keys, open new or changed keys), ending in ``{p}snap``."""
     changed = " OR ".join(f"h.{c} IS DISTINCT FROM s.{c}" for c in check_cols)
     cols = [key] + list(attrs)
     hcols = ", ".join(f"h.{c}" for c in cols)
     scols = ", ".join(f"s.{c}" for c in cols)
     t1, t2 = f"TIMESTAMP '{SNAP1_RUN_TS}'", f"TIMESTAMP '{SNAP2_RUN_TS}'"
-    return _with(
-        silver_ctes("s1", SNAP1_AS_OF, DAYS), silver_ctes("s2", AS_OF, DAYS),
-        f"run1 AS ({stg.format(src='s1')})", f"run2 AS ({stg.format(src='s2')})",
-        f"h1 AS (SELECT {', '.join(cols)}, {t1} AS dbt_valid_from, CAST(NULL AS TIMESTAMP) AS dbt_valid_to FROM run1)",
-        f"""old_rows AS (
+    return [
+        f"{p}run1 AS ({stg.format(src=s1)})", f"{p}run2 AS ({stg.format(src=s2)})",
+        f"{p}h1 AS (SELECT {', '.join(cols)}, {t1} AS dbt_valid_from, CAST(NULL AS TIMESTAMP) AS dbt_valid_to "
+        f"FROM {p}run1)",
+        f"""{p}old_rows AS (
   SELECT {hcols}, h.dbt_valid_from,
     CASE WHEN s.{key} IS NULL OR {changed} THEN {t2} ELSE h.dbt_valid_to END AS dbt_valid_to
-  FROM h1 h LEFT JOIN run2 s ON h.{key} = s.{key})""",
-        f"""new_rows AS (
+  FROM {p}h1 h LEFT JOIN {p}run2 s ON h.{key} = s.{key})""",
+        f"""{p}new_rows AS (
   SELECT {scols}, {t2} AS dbt_valid_from, CAST(NULL AS TIMESTAMP) AS dbt_valid_to
-  FROM run2 s LEFT JOIN h1 h ON h.{key} = s.{key}
+  FROM {p}run2 s LEFT JOIN {p}h1 h ON h.{key} = s.{key}
   WHERE h.{key} IS NULL OR {changed})""",
-        "snap AS (SELECT * FROM old_rows UNION ALL SELECT * FROM new_rows)",
-    )
+        f"{p}snap AS (SELECT * FROM {p}old_rows UNION ALL SELECT * FROM {p}new_rows)",
+    ]
+
+
+def _scd2_two_runs(stg: str, key: str, check_cols, attrs) -> str:
+    return _with(silver_ctes("s1", SNAP1_AS_OF, DAYS), silver_ctes("s2", AS_OF, DAYS),
+                 *_snap_fragments(stg, key, check_cols, attrs))
 
 
 COURIER_SNAP = _scd2_two_runs(STG_COURIER, "courier_id", ["sample_route_id"],
@@ -484,3 +489,119 @@ SELECT {_BCOLS} FROM bronze WHERE CAST(event_ts AS DATE) >= DATE '2024-01-21'"""
 ORACLE["s9_union_hot_cold"] = _with(_BR) + f"\nSELECT {_BCOLS} FROM bronze"
 ORACLE["s10_publish_events"] = _with(_BR) + """
 SELECT parcel_id AS key, event_id, event_ts, sequence_no FROM bronze"""
+
+
+# -- the reference's 81 data tests -------------------------------------------------
+# Models as CTEs named like the tables, then one result row per test.
+
+_COURIER_ATTRS = ["sample_route_id", "last_seen_ts"]
+_MERCHANT_ATTRS = ["service_tier", "promised_window_start", "promised_window_end", "last_seen_ts"]
+MODEL_SQL = [
+    f"parcel_events AS ({BRONZE_SQL})",
+    silver_ctes(),
+    silver_ctes("snap_s1", SNAP1_AS_OF, DAYS),
+    "silver_parcel_events AS (SELECT * FROM silver)",
+    f"silver_parcel_latest AS ({_latest_all('silver')})",
+    DEPOT_VISITS_CTE, ETA_CTE, ATTEMPTS_CTE,
+    "fact_depot_visits AS (SELECT * FROM depot_visits)",
+    "fact_eta_events AS (SELECT * FROM eta_events)",
+    "fact_parcel_delivery_attempts AS (SELECT * FROM attempts)",
+    f"""fact_parcel_deliveries AS (
+  SELECT event_id, parcel_id, route_id, courier_id, attempt_number, outcome, failure_reason, delivered_ts, event_date
+  FROM silver WHERE {_window_where()} AND event_type = 'DELIVERED' AND delivered_ts IS NOT NULL)""",
+    *_snap_fragments(STG_COURIER, "courier_id", ["sample_route_id"], _COURIER_ATTRS, "c_", "snap_s1", "silver"),
+    *_snap_fragments(STG_MERCHANT, "merchant_id", ["service_tier", "promised_window_start", "promised_window_end"],
+                     _MERCHANT_ATTRS, "m_", "snap_s1", "silver"),
+    "dim_courier AS (SELECT * FROM c_snap WHERE dbt_valid_to IS NULL)",
+    "dim_merchant AS (SELECT * FROM m_snap WHERE dbt_valid_to IS NULL)",
+    """dim_depot AS (SELECT depot_id, min(event_ts) AS first_seen_ts, max(event_ts) AS last_seen_ts,
+  COUNT(*) FILTER (WHERE event_type = 'SCAN_IN_DEPOT') AS scan_in_count,
+  COUNT(*) FILTER (WHERE event_type = 'SCAN_OUT_DEPOT') AS scan_out_count
+  FROM silver WHERE depot_id IS NOT NULL GROUP BY depot_id)""",
+    """dim_route AS (SELECT route_id AS route_sk, route_id, min(event_ts) AS first_seen_ts,
+  max(event_ts) AS last_seen_ts, COUNT(*) AS event_count FROM silver WHERE route_id IS NOT NULL GROUP BY route_id)""",
+    """dim_exception_code AS (SELECT exception_code, min(stage_hint) AS stage_hint_example, COUNT(*) AS occurrences
+  FROM silver WHERE exception_code IS NOT NULL GROUP BY exception_code)""",
+    """dim_service_tier AS (SELECT service_tier AS service_tier_sk, service_tier,
+  min(promised_window_start) AS sample_promised_start, min(promised_window_end) AS sample_promised_end
+  FROM silver WHERE service_tier IS NOT NULL GROUP BY service_tier)""",
+    """vw_depot_dwell_p95 AS (SELECT event_date, depot_id, quantile_disc(dwell_minutes, 0.95) AS depot_dwell_p95_min
+  FROM depot_visits GROUP BY event_date, depot_id)""",
+    """vw_eta_error_p95 AS (SELECT CAST(generated_ts AS DATE) AS event_date, depot_id, courier_id, merchant_id,
+  quantile_disc(abs(date_sub('minute', predicted_delivery_ts, first_planned_eta_ts)), 0.95) AS eta_p95_error_min
+  FROM eta_events WHERE event_ts IS NOT NULL AND predicted_delivery_ts IS NOT NULL
+  GROUP BY CAST(generated_ts AS DATE), depot_id, courier_id, merchant_id)""",
+    """vw_first_attempt_success AS (SELECT parcel_id, min(depot_id) AS depot_id, min(courier_id) AS courier_id,
+  min(merchant_id) AS merchant_id, min(COALESCE(CAST(attempt_ts AS DATE), event_date)) AS event_date,
+  CAST(MAX(CASE WHEN UPPER(outcome) = 'DELIVERED' THEN 1 ELSE 0 END) AS INTEGER) AS delivered_any,
+  CAST(MAX(CASE WHEN attempt_number = 1 AND UPPER(outcome) = 'DELIVERED' THEN 1 ELSE 0 END) AS INTEGER)
+    AS first_attempt_success
+  FROM attempts GROUP BY parcel_id)""",
+]
+
+# Output columns of each model, as the model SQL defines them.
+MODEL_COLUMNS = {
+    "parcel_events": BRONZE_COLUMNS,
+    "silver_parcel_events": SILVER_COLS,
+    "silver_parcel_latest": SILVER_COLS,
+    "fact_depot_visits": ["parcel_id", "depot_id", "in_depot_ts", "out_depot_ts", "dwell_minutes", "event_date"],
+    "fact_eta_events": ["event_id", "parcel_id", "route_id", "depot_id", "courier_id", "merchant_id", "source",
+                        "first_planned_eta_ts", "predicted_delivery_ts", "generated_ts", "event_ts", "event_date"],
+    "fact_parcel_deliveries": ["event_id", "parcel_id", "route_id", "courier_id", "attempt_number", "outcome",
+                               "failure_reason", "delivered_ts", "event_date"],
+    "fact_parcel_delivery_attempts": ["event_id", "parcel_id", "route_id", "courier_id", "depot_id", "merchant_id",
+                                      "attempt_number", "outcome", "failure_reason", "attempt_ts", "event_date"],
+    "dim_courier": ["courier_id"] + _COURIER_ATTRS + ["dbt_valid_from", "dbt_valid_to"],
+    "dim_merchant": ["merchant_id"] + _MERCHANT_ATTRS + ["dbt_valid_from", "dbt_valid_to"],
+    "dim_depot": ["depot_id", "first_seen_ts", "last_seen_ts", "scan_in_count", "scan_out_count"],
+    "dim_route": ["route_sk", "route_id", "first_seen_ts", "last_seen_ts", "event_count"],
+    "dim_exception_code": ["exception_code", "stage_hint_example", "occurrences"],
+    "dim_service_tier": ["service_tier_sk", "service_tier", "sample_promised_start", "sample_promised_end"],
+    "vw_depot_dwell_p95": ["event_date", "depot_id", "depot_dwell_p95_min"],
+    "vw_eta_error_p95": ["event_date", "depot_id", "courier_id", "merchant_id", "eta_p95_error_min"],
+    "vw_first_attempt_success": ["parcel_id", "depot_id", "courier_id", "merchant_id", "event_date",
+                                 "delivered_any", "first_attempt_success"],
+}
+
+
+def _suite_sql(checks) -> str:
+    import re
+    words = {"cast", "as", "string", "concat", "coalesce"}
+    rows = []
+    for c in checks:
+        cols = MODEL_COLUMNS[c.model]
+        msg, fsql = None, None
+        if c.kind in ("not_null", "accepted_values", "relationships") and c.column not in cols:
+            msg = f"missing column {c.column}"
+        elif c.kind == "unique":
+            ids = [n for n in re.findall(r"[A-Za-z_][A-Za-z0-9_]*", re.sub(r"'[^']*'", "", c.column))
+                   if n.lower() not in words and n not in cols]
+            if ids:
+                msg = f"missing column {ids[0]}"
+        elif c.kind == "relationships" and (c.field or c.column) not in MODEL_COLUMNS.get(c.to, []):
+            msg = f"missing parent {c.to}.{c.field}"
+        if msg is None:
+            m, col = c.model, c.column
+            if c.kind == "not_null":
+                fsql = f"SELECT count(*) FROM {m} WHERE {col} IS NULL"
+            elif c.kind == "unique":
+                fsql = (f"SELECT count(*) FROM (SELECT {col} AS v FROM {m}) t WHERE v IS NOT NULL "
+                        f"GROUP BY v HAVING count(*) > 1")
+                fsql = f"SELECT count(*) FROM ({fsql}) u"
+            elif c.kind == "accepted_values":
+                vals = ", ".join(f"'{v}'" if c.quote else str(v) for v in c.values)
+                fsql = f"SELECT count(DISTINCT {col}) FROM {m} WHERE {col} IS NOT NULL AND {col} NOT IN ({vals})"
+            else:
+                f = c.field or col
+                fsql = (f"SELECT count(*) FROM {m} WHERE {col} IS NOT NULL AND {col} NOT IN "
+                        f"(SELECT {f} FROM {c.to} WHERE {f} IS NOT NULL)")
+        rows.append(_res(c.name, c.model, c.kind, c.column, c.severity, fsql, msg))
+    return _with(*MODEL_SQL) + "\n" + "\nUNION ALL\n".join(rows)
+
+
+def _reference_suite_sql() -> str:
+    from .plans.suite import REFERENCE_TESTS
+    return _suite_sql(REFERENCE_TESTS)
+
+
+ORACLE["e8_reference_suite"] = _reference_suite_sql()
