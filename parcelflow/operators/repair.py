@@ -38,24 +38,34 @@ def repair_event_time(df: DataFrame, key: str = "parcel_id", ts: str = "event_ts
     is earlier than the previous *repaired* time, set it to that time plus
     one second. Not a running max: [10, 5, 20, 19, 19] -> [10, 11, 20, 21, 22].
 
-    The recurrence is sequential within a parcel, so each parcel's events
-    are sorted into one array and folded with the higher-order
-    ``aggregate`` (JVM-side, no Python). A parcel's lifecycle is a bounded
-    list of events (one per lifecycle step), so the array is small; the
-    shuffle is on parcel_id.
+    The recurrence is sequential within a parcel, so it is a streaming fold:
+    rows are hash-partitioned by parcel and sorted within each partition
+    (Spark's sort spills), then ``mapInPandas`` walks the sorted Arrow
+    batches carrying one value (the parcel's last repaired time) from row to
+    row and batch to batch. Memory is one batch, whatever a parcel's size;
+    no group is ever collected.
     """
-    cols = df.columns
-    row = F.struct(*[F.col(c) for c in order], F.struct(*[F.col(c) for c in cols]).alias("r"))
-    g = df.groupBy(key).agg(F.array_sort(F.collect_list(row)).alias("evs"))
-    step = F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), F.lit(step_seconds))
-    empty = F.array().cast(f"array<struct<r:{df.select(F.struct(*cols).alias('r')).schema['r'].dataType.simpleString()},"
-                           f"fixed:timestamp>>")
-
-    def step_fn(acc, x):
-        prev = F.element_at(acc, -1)["fixed"]
-        cur = x["r"][ts]
-        fixed = F.when((F.size(acc) > 0) & (cur < prev), prev + step).otherwise(cur)
-        return F.concat(acc, F.array(F.struct(x["r"].alias("r"), fixed.alias("fixed"))))
-
-    folded = g.select(F.inline(F.aggregate("evs", empty, step_fn)))
-    return folded.select(*[F.col("fixed").alias(c) if c == ts else F.col("r")[c].alias(c) for c in cols])
+    import numpy as np
+
+    step = np.timedelta64(int(step_seconds) * 1_000_000, "us")
+    order = [c for c in order if c in df.columns]
+
+    def fold(batches):
+        cur, prev = object(), None
+        for pdf in batches:
+            keys = pdf[key].to_numpy()
+            t = pdf[ts].to_numpy().astype("datetime64[us]")
+            out = t.copy()
+            for i in range(len(t)):
+                if keys[i] != cur:
+                    cur, prev = keys[i], None
+                v = t[i]
+                if prev is not None and not np.isnat(v) and not np.isnat(prev) and v < prev:
+                    v = prev + step
+                out[i] = v
+                prev = v
+            pdf[ts] = out
+            yield pdf
+
+    walked = df.repartition(key).sortWithinPartitions(key, *order)
+    return walked.mapInPandas(fold, df.schema)

@@ -82,3 +82,14 @@ def test_dedup_latest_generic_key(spark):
     df = spark.createDataFrame([("m1", 1, "x"), ("m1", 2, "y"), ("m2", 1, "z")], "k string, o int, v string")
     got = sorted((r.k, r.v) for r in dedup_latest(df, ["k"], [F.col("o").desc()]).collect())
     assert got == [("m1", "y"), ("m2", "z")]
+
+
+def test_repair_event_time_sequence(spark):
+    from parcelflow.operators.repair import repair_event_time
+    secs = [10, 5, 20, 19, 19]
+    df = spark.createDataFrame([("p", i, ts(f"2024-01-01 00:00:{s:02d}"), f"e{i}") for i, s in enumerate(secs)]
+                               + [("q", 0, ts("2024-01-01 00:00:03"), "x")],
+                               "parcel_id string, sequence_no int, event_ts timestamp, event_id string")
+    got = {(r.parcel_id, r.sequence_no): r.event_ts.second for r in repair_event_time(df).collect()}
+    assert [got[("p", i)] for i in range(5)] == [10, 11, 20, 21, 22]
+    assert got[("q", 0)] == 3
