@@ -14,7 +14,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.columns import minutes_between
-from ..operators.aggregates import p95
 from ..operators.windows import dedup_latest
 from .gold import vw_first_attempt_success
 

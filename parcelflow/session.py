@@ -11,11 +11,16 @@ from pyspark.sql import SparkSession
 
 # Settings every job here relies on. UTC is part of the data model: all
 # event times are UTC and DATE(event_ts) must not depend on the host zone.
+# Broadcasts: never from the optimizer's static size estimate (which can be
+# far off after filters); only AQE's decision from the *measured* size of a
+# finished shuffle stage, below 64 MB.
 REQUIRED_CONF = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "64MB",
 }
 
 
