@@ -93,3 +93,23 @@ def test_repair_event_time_sequence(spark):
     got = {(r.parcel_id, r.sequence_no): r.event_ts.second for r in repair_event_time(df).collect()}
     assert [got[("p", i)] for i in range(5)] == [10, 11, 20, 21, 22]
     assert got[("q", 0)] == 3
+
+
+def test_bucketed_pairing_equals_single_window(spark):
+    import datetime as dt
+    import random
+
+    from parcelflow.operators.windows import pair_events
+    rnd = random.Random(7)
+    rows = []
+    for i in range(400):
+        p, d = f"p{rnd.randint(0, 3)}", f"d{rnd.randint(0, 1)}"
+        t = ts("2024-01-10 00:00:00").timestamp() + rnd.randint(0, 3 * 86400)
+        rows.append((p, d, rnd.choice(["SCAN_IN_DEPOT", "SCAN_OUT_DEPOT"]),
+                     dt.datetime.fromtimestamp(t, dt.timezone.utc).replace(tzinfo=None), rnd.randint(0, 3), f"e{i}"))
+    df = spark.createDataFrame(rows, "parcel_id string, depot_id string, event_type string, event_ts timestamp, "
+                                     "sequence_no int, event_id string")
+    k = ["parcel_id", "depot_id"]
+    got = sorted(map(tuple, pair_events(df, k, bucket_seconds=3600).select("event_id", "next_ts").collect()))
+    want = sorted(map(tuple, pair_events(df, k, bucket_seconds=None).select("event_id", "next_ts").collect()))
+    assert got == want and len(got) > 20
