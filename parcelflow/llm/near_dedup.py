@@ -34,6 +34,8 @@ from .common import components, stored, table
 #: Bands and rows a band. At a similarity of 0.85 a link's chance to share no
 #: band is (1 - 0.85 ** 8) ** 48 = 2e-7; at 0.8 it is 2e-4.
 BANDS, ROWS = 48, 8
+#: Hash classes of the bound on common shingles; more are tighter, and wider rows.
+CLASSES = 64
 FULL = np.uint64(0xFFFFFFFFFFFFFFFF)
 
 
@@ -198,7 +200,10 @@ def _rest(member: DataFrame, label: DataFrame, sets: DataFrame, percent: int) ->
 
     Comparing with the smallest member joins nearly every group of copies, so
     few buckets still hold two components. Their members are paired across
-    components only, each pair once.
+    components only, and only where a bound on the common shingles allows a
+    link: shingles found in one component alone can't be common, and of the
+    others, counted by ``CLASSES`` hash classes, two texts share at most the
+    smaller count of each class. The bound never rules out a link.
     """
     m = member.join(label.select(F.col("id").alias("rep"), "component"), "rep", "left").select(
         "bucket", "rep", "n", F.coalesce("component", "rep").alias("c"))
@@ -206,9 +211,19 @@ def _rest(member: DataFrame, label: DataFrame, sets: DataFrame, percent: int) ->
     m = stored(m.join(mixed, "bucket"), "near-mixed")
     if m.isEmpty():
         return None
+    texts = m.select(F.col("rep").alias("_m_id"), "c").distinct()
+    token = sets.join(texts, "_m_id").select("_m_id", "c", F.explode("_m_set").alias("g"))
+    common = token.groupBy("g").agg(F.min("c").alias("c0"), F.max("c").alias("c1")).where("c0 < c1").select("g")
+    of_class = F.pmod(F.col("g"), F.lit(CLASSES))
+    counts = token.join(common, "g").groupBy("_m_id").agg(
+        F.array(*[F.count(F.when(of_class == k, 1)).cast("int") for k in range(CLASSES)]).alias("v"), F.count("*").alias("s"))
+    m = stored(m.join(counts.withColumnRenamed("_m_id", "rep"), "rep"), "near-counted")
     a, b = m.alias("a"), m.alias("b")
-    pairs = (a.join(b, (F.col("a.bucket") == F.col("b.bucket")) & (F.col("a.c") < F.col("b.c")) & _may_link("a.n", "b.n", percent))
-             .select(F.col("a.rep").alias("a"), F.col("b.rep").alias("b")).distinct())
+    at_most = F.aggregate(F.zip_with("a.v", "b.v", lambda x, y: F.least(x, y)), F.lit(0), lambda t, x: t + x)
+    enough = lambda shared: (100 + percent) * shared >= percent * (F.col("a.n") + F.col("b.n"))
+    on = ((F.col("a.bucket") == F.col("b.bucket")) & (F.col("a.c") < F.col("b.c")) & _may_link("a.n", "b.n", percent)
+          & enough(F.least("a.s", "b.s")) & enough(at_most))
+    pairs = a.join(b, on).select(F.col("a.rep").alias("a"), F.col("b.rep").alias("b")).distinct()
     return stored(_verified(pairs, sets, percent), "near-rest")
 
 
