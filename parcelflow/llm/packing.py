@@ -47,7 +47,7 @@ def _cutter(path: str, capacity: int, end_id: int):
         t = piece_tokenizer(path)
         for batch in batches:
             rows = []
-            for doc, raw in zip(batch.column(0).to_pylist(), t.batch(batch.column(1).to_pylist())):
+            for doc, raw in zip(batch.column(0).to_pylist(), t.batch(batch.column(1).cast(pa.binary()).to_pylist())):
                 raw += end
                 for k, a in enumerate(range(0, len(raw), 4 * capacity)):
                     part = raw[a:a + 4 * capacity]

@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
-from . import near_dedup, quality_rules
+from . import decontaminate, near_dedup, packing, pii, quality_rules, sharding
 
 QUERIES = {
+    "op1_pii_surrogates": pii.op1_pii_surrogates,
     "op3_quality_rules": quality_rules.op3_quality_rules,
     "op4_near_dedup": near_dedup.op4_near_dedup,
+    "op5_label_propagation": sharding.op5_label_propagation,
+    "op7_decontaminate": decontaminate.op7_decontaminate,
+    "op9_best_fit_packing": packing.op9_best_fit_packing,
 }
 
 ORACLE = {

@@ -8,12 +8,19 @@ the joined bytes of its pieces.
 
 from __future__ import annotations
 
+import json
+import re
+from array import array
 from functools import lru_cache
 
-#: Pieces a worker keeps; beyond it the table starts anew (about 100 MB).
-KEPT_PIECES = 500_000
-#: Missing pieces are encoded in runs of this many.
-RUN = 4096
+#: Pieces a worker keeps; beyond it the table starts anew (about 200 MB).
+KEPT_PIECES = 700_000
+#: Missing pieces encoded together, and words in one string.
+LEARN_AT, RUN = 8192, 256
+#: A lower-case Latin word, perhaps with one sign behind it: the tokenizer's
+#: normaliser leaves its letters as they are and its splitter takes the word
+#: and the sign as one unit each. (UTF-8 of a-z, U+00DF-U+00FF but U+00F7, and U+0153.)
+PLAIN = re.compile(rb"((?:[a-z]|\xc3[\x9f-\xb6\xb8-\xbf]|\xc5\x93)+)([.,;:!?]?)")
 
 TOKENIZER = "word_bpe_49k.json"
 
@@ -24,60 +31,109 @@ def tokenizer_path(name: str = TOKENIZER) -> str:
     return public_tokenizers.path(name)
 
 
+def _byte_letters() -> dict[int, str]:
+    """The letters by which byte-level vocabularies name the bytes of the
+    non-ASCII letters of ``PLAIN``: bytes 0xA1-0xAC and 0xAE-0xFF by the code
+    point of the same number, the others by 256 and up in order of the byte."""
+    own = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    name = {b: chr(b) for b in own} | {b: chr(256 + k) for k, b in enumerate(sorted(set(range(256)) - set(own)))}
+    return {c: "".join(name[b] for b in chr(c).encode("utf-8")) for c in [*range(0xDF, 0x100), 0x153]}
+
+
 class PieceTokenizer:
-    """``ids(text)``: the library's ids of ``text`` as little-endian uint32 bytes."""
+    """Ids of whole texts as little-endian uint32 bytes, equal to the library's.
+
+    Distinct pieces are encoded once. Plain lower-case words go straight to the
+    file's merges, without the normaliser and the splitter that would leave
+    them as they are; every other piece goes through the whole tokenizer.
+    """
 
     def __init__(self, path: str, kept: int = KEPT_PIECES):
         from tokenizers import Tokenizer
 
-        self.library = Tokenizer.from_file(path)
+        with open(path, encoding="utf-8") as f:
+            parts = json.load(f)
+        self.library = Tokenizer.from_str(json.dumps(parts))
         self.library.no_truncation()
         self.library.no_padding()
+        lowers = any(x.get("type") == "Lowercase" for x in (parts.get("normalizer") or {}).get("normalizers", []))
+        self.end = parts["model"].get("end_of_word_suffix") or ""
+        self.lower = bool(lowers and self.end)
         self.kept = kept
         self.known: dict[bytes, bytes] = {}
+        if self.lower:
+            parts |= {"normalizer": None, "pre_tokenizer": {"type": "CharDelimiterSplit", "delimiter": " "}, "added_tokens": [], "post_processor": None}
+            self.merges = Tokenizer.from_str(json.dumps(parts))
+            vocabulary = parts["model"]["vocab"]
+            self.letters = _byte_letters()
+            import numpy as np
+
+            self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
+            self.ends[[k for t, k in vocabulary.items() if t.endswith(self.end)]] = True
+            self.signs = {c.encode(): int(vocabulary[c + self.end]).to_bytes(4, "little") for c in ".,;:!?"} | {b"": b""}
+
+    def pieces(self, text: bytes | None) -> list[bytes]:
+        """Cut at ASCII white space; A-Z lower-cased where the tokenizer does
+        so itself and the text can't hold a special string."""
+        text = text or b""
+        return (text.lower() if self.lower and b"<|" not in text else text).split()
 
     def learn(self, pieces: set[bytes]) -> None:
         """Encode ``pieces`` and keep their ids."""
         import numpy as np
 
-        todo = list(pieces)
-        for k in range(0, len(todo), RUN):
-            run = todo[k:k + RUN]
-            e = self.library.encode([p.decode("utf-8") for p in run], is_pretokenized=True, add_special_tokens=False)
-            ids = np.array(e.ids, "<u4")
-            of = np.array([-1 if x is None else x for x in e.word_ids], np.int64)
-            if len(of) and (of.min() < 0 or (np.diff(of) < 0).any()):
-                raise ValueError("the tokenizer does not tell the word of each token")
-            cuts = np.searchsorted(of, np.arange(len(run) + 1)).tolist()
-            raw = ids.tobytes()
-            self.known.update((p, raw[4 * a:4 * b]) for p, a, b in zip(run, cuts, cuts[1:]))
-
-    def batch(self, texts: list[str | None]):
-        """Ids of each text, in order; pieces unknown so far are encoded
+        known, plain, rest = self.known, [], []
+        match = PLAIN.fullmatch
+        for p in pieces:
+            m = match(p) if self.lower else None
+            if m:
+                plain.append((p, *m.groups()))
+            else:
+                rest.append(p)
+        words = list({w for _, w, _ in plain})
+        runs = [words[k:k + RUN] for k in range(0, len(words), RUN)]
+        of = {}
+        if runs:
+            encoded = self.merges.encode_batch_fast([b" ".join(run).decode("utf-8").translate(self.letters) for run in runs], add_special_tokens=False)
+            for run, e in zip(runs, encoded):
+                ids = array("I", e.ids)
+                cuts = (4 * np.flatnonzero(self.ends[np.frombuffer(ids, np.uint32)]) + 4).tolist()
+                if len(cuts) != len(run):
+                    raise ValueError("a word's last token is not marked as its end")
+                raw = ids.tobytes()
+                of.update(zip(run, [raw[a:b] for a, b in zip([0, *cuts], cuts)]))
+            signs = self.signs
+            known.update([(p, of[w] + signs[c]) for p, w, c in plain])
+        for p, e in zip(rest, self.library.encode_batch_fast([p.decode("utf-8") for p in rest], add_special_tokens=False)):
+            known[p] = array("I", e.ids).tobytes()
+
+    def batch(self, texts: list[bytes | None]):
+        """Ids of each UTF-8 text, in order; unknown pieces are encoded
         together for every few texts."""
-        group: list[list[bytes]] = []
-        size = 0
+        waiting: list[tuple[list[bytes], list[bytes | None], list[int]]] = []
+        missing: set[bytes] = set()
+        get = self.known.get
         for t in texts:
-            pieces = (t or "").encode("utf-8").split()
-            group.append(pieces)
-            size += len(pieces)
-            if size >= 200_000:
-                yield from self._flush(group)
-                group, size = [], 0
-        yield from self._flush(group)
-
-    def _flush(self, group: list[list[bytes]]):
+            pieces = self.pieces(t)
+            ids = list(map(get, pieces))
+            new = [k for k, x in enumerate(ids) if x is None] if None in ids else []
+            missing.update([pieces[k] for k in new])
+            waiting.append((pieces if new else [], ids, new))
+            if len(missing) >= LEARN_AT or len(waiting) >= 512:
+                yield from self._flush(waiting, missing)
+                waiting, missing = [], set()
+        yield from self._flush(waiting, missing)
+
+    def _flush(self, waiting, missing):
+        if missing:
+            self.learn(missing)
         known = self.known
+        for pieces, ids, new in waiting:
+            for k in new:
+                ids[k] = known[pieces[k]]
+            yield b"".join(ids)
         if len(known) > self.kept:
             known.clear()
-        todo: set[bytes] = set()
-        for pieces in group:
-            todo.update(pieces)
-        todo.difference_update(known.keys() & todo)
-        self.learn(todo)
-        get = known.__getitem__
-        for pieces in group:
-            yield b"".join(map(get, pieces))
 
 
 @lru_cache(maxsize=2)
