@@ -40,19 +40,21 @@ PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 def _cutter(path: str, capacity: int, end_id: int):
     import zlib
 
-    end = int(end_id).to_bytes(4, "little")
     schema = pa.schema([("doc_id", pa.int64()), ("piece", pa.int32()), ("start", pa.int64()), ("length", pa.int64()), ("ids_crc32", pa.int64())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         t = piece_tokenizer(path)
         for batch in batches:
-            rows = []
-            for doc, raw in zip(batch.column(0).to_pylist(), t.batch(batch.column(1).cast(pa.binary()).to_pylist())):
-                raw += end
-                for k, a in enumerate(range(0, len(raw), 4 * capacity)):
-                    part = raw[a:a + 4 * capacity]
-                    rows.append((doc, k, a // 4, len(part) // 4, zlib.crc32(part)))
-            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), schema)] if rows else [pa.array([], f.type) for f in schema], schema=schema)
+            for first, ids, bounds in t.slices(batch.column(1), end_id):
+                n = np.diff(bounds)
+                parts = -(-n // capacity)
+                doc = np.repeat(np.arange(len(n)), parts)
+                piece = np.arange(len(doc)) - np.repeat(np.cumsum(parts) - parts, parts)
+                start = piece * capacity
+                length = np.minimum(n[doc] - start, capacity)
+                raw, at = memoryview(ids.tobytes()), 4 * (bounds[doc] + start)
+                crc = [zlib.crc32(raw[a:b]) for a, b in zip(at.tolist(), (at + 4 * length).tolist())]
+                yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(first + doc)), pa.array(piece, pa.int32()), pa.array(start), pa.array(length), pa.array(crc, pa.int64())], schema=schema)
 
     return run
 

@@ -1,9 +1,9 @@
 """Token ids of whole texts through the ``tokenizers`` library, word by word.
 
 A text is cut at ASCII white space, which the tokenizers used here drop, so no
-token reaches across a cut; each distinct piece is encoded by the library once
-per worker and its ids are kept as little-endian 32-bit bytes. A text's ids are
-the joined bytes of its pieces.
+token reaches across a cut. Each distinct piece is encoded by the library once
+per worker; its ids go to a pool, and a table from the piece's 64-bit hash to
+its place there turns whole slices of texts into ids with NumPy gathers.
 """
 
 from __future__ import annotations
@@ -11,12 +11,20 @@ from __future__ import annotations
 import json
 import re
 from array import array
+from collections.abc import Iterator
 from functools import lru_cache
 
-#: Pieces a worker keeps; beyond it the table starts anew (about 200 MB).
-KEPT_PIECES = 700_000
-#: Missing pieces encoded together, and words in one string.
-LEARN_AT, RUN = 8192, 256
+import numpy as np
+import pyarrow as pa
+
+from . import wordhash as W
+
+#: Pieces a worker keeps; beyond it the table starts anew (about 50 MB).
+TABLE_BITS, KEPT_PIECES = 21, 1_200_000
+#: Bytes of text turned into ids at once.
+SLICE_BYTES = 2 << 20
+#: Words in one string given to the library.
+RUN = 256
 #: A lower-case Latin word, perhaps with one sign behind it: the tokenizer's
 #: normaliser leaves its letters as they are and its splitter takes the word
 #: and the sign as one unit each. (UTF-8 of a-z, U+00DF-U+00FF but U+00F7, and U+0153.)
@@ -41,7 +49,7 @@ def _byte_letters() -> dict[int, str]:
 
 
 class PieceTokenizer:
-    """Ids of whole texts as little-endian uint32 bytes, equal to the library's.
+    """Ids of whole texts, equal to the library's.
 
     Distinct pieces are encoded once. Plain lower-case words go straight to the
     file's merges, without the normaliser and the splitter that would leave
@@ -60,29 +68,108 @@ class PieceTokenizer:
         self.end = parts["model"].get("end_of_word_suffix") or ""
         self.lower = bool(lowers and self.end)
         self.kept = kept
-        self.known: dict[bytes, bytes] = {}
+        self._clear()
         if self.lower:
             parts |= {"normalizer": None, "pre_tokenizer": {"type": "CharDelimiterSplit", "delimiter": " "}, "added_tokens": [], "post_processor": None}
             self.merges = Tokenizer.from_str(json.dumps(parts))
             vocabulary = parts["model"]["vocab"]
             self.letters = _byte_letters()
-            import numpy as np
-
             self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
             self.ends[[k for t, k in vocabulary.items() if t.endswith(self.end)]] = True
             self.signs = {c.encode(): int(vocabulary[c + self.end]).to_bytes(4, "little") for c in ".,;:!?"} | {b"": b""}
 
-    def pieces(self, text: bytes | None) -> list[bytes]:
-        """Cut at ASCII white space; A-Z lower-cased where the tokenizer does
-        so itself and the text can't hold a special string."""
-        text = text or b""
-        return (text.lower() if self.lower and b"<|" not in text else text).split()
-
-    def learn(self, pieces: set[bytes]) -> None:
-        """Encode ``pieces`` and keep their ids."""
-        import numpy as np
-
-        known, plain, rest = self.known, [], []
+    def _clear(self) -> None:
+        self.keys = np.zeros(1 << TABLE_BITS, np.uint64)      # 0: free
+        self.places = np.zeros(1 << TABLE_BITS, np.int32)
+        self.start, self.length = np.zeros(1 << 16, np.int64), np.zeros(1 << 16, np.int64)
+        self.pool = np.zeros(1 << 20, np.uint32)
+        self.n_pieces = self.n_pool = 0
+
+    def _slots(self, keys: np.ndarray) -> np.ndarray:
+        return (keys >> np.uint64(64 - TABLE_BITS)).astype(np.int64)
+
+    def _find(self, keys: np.ndarray) -> np.ndarray:
+        """Place of each key's piece, or -1."""
+        at = self._slots(keys)
+        seen = self.keys[at]
+        out = np.where(seen == keys, self.places[at], -1)
+        todo = np.flatnonzero((seen != keys) & (seen != 0))
+        mask = (1 << TABLE_BITS) - 1
+        while len(todo):
+            at[todo] = (at[todo] + 1) & mask
+            seen = self.keys[at[todo]]
+            hit = seen == keys[todo]
+            out[todo[hit]] = self.places[at[todo[hit]]]
+            todo = todo[~hit & (seen != 0)]
+        return out
+
+    def _insert(self, keys: np.ndarray, places: np.ndarray) -> None:
+        """Add distinct keys that are not in the table."""
+        at, mask = self._slots(keys), (1 << TABLE_BITS) - 1
+        while len(keys):
+            free = np.flatnonzero(self.keys[at] == 0)
+            slot, first = np.unique(at[free], return_index=True)
+            won = free[first]
+            self.keys[slot], self.places[slot] = keys[won], places[won]
+            left = np.ones(len(keys), bool)
+            left[won] = False
+            keys, places, at = keys[left], places[left], (at[left] + 1) & mask
+
+    def _store(self, keys: np.ndarray, encoded: list[bytes]) -> None:
+        """Put the ids of new pieces into the pool and the table."""
+        ids = np.frombuffer(b"".join(encoded), np.uint32)
+        n, size = self.n_pieces + len(keys), self.n_pool + len(ids)
+        while len(self.start) < n:
+            self.start, self.length = np.resize(self.start, 2 * len(self.start)), np.resize(self.length, 2 * len(self.length))
+        while len(self.pool) < size:
+            self.pool = np.resize(self.pool, 2 * len(self.pool))
+        length = np.fromiter(map(len, encoded), np.int64, len(encoded)) // 4
+        self.pool[self.n_pool:size] = ids
+        self.length[self.n_pieces:n] = length
+        self.start[self.n_pieces:n] = self.n_pool + np.cumsum(length) - length
+        self._insert(keys, np.arange(self.n_pieces, n, dtype=np.int32))
+        self.n_pieces, self.n_pool = n, size
+
+    def slices(self, column: pa.Array, end_id: int | None = None) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+        """(first text, ids, bounds) for slices of ``column``: text
+        ``first + k`` has ids[bounds[k]:bounds[k + 1]], ``end_id`` included."""
+        for w in W.slices(column, W.NOT_SPACE, W.LOWER if self.lower else W.SAME, SLICE_BYTES):
+            if self.n_pieces > self.kept:
+                self._clear()
+            raw = w.data.tobytes()
+            keys = np.maximum(w.hash, np.uint64(1))
+            place = self._find(keys)
+            new = np.flatnonzero(place < 0)
+            if len(new):
+                fresh, first = np.unique(keys[new], return_index=True)
+                at = new[first]
+                found = [raw[a:b] for a, b in zip(w.start[at].tolist(), w.end[at].tolist())]
+                self._store(fresh, self.encode([x.lower() if self.lower else x for x in found]))
+                place[new] = self._find(keys[new])
+            length = self.length[place]
+            ends = np.cumsum(length)
+            begin = ends - length
+            ids = self.pool[np.repeat(self.start[place] - begin, length) + np.arange(ends[-1] if len(ends) else 0)]
+            bounds = np.concatenate([[0], ends])[w.bounds]
+            if b"<|" in raw:
+                ids, bounds = self._with_special(column, w, ids, bounds)
+            if end_id is not None:
+                ids = np.insert(ids, bounds[1:], end_id)
+                bounds = bounds + np.arange(len(bounds))
+            yield w.first, ids.astype("<u4", copy=False), bounds
+
+    def _with_special(self, column: pa.Array, w: W.Words, ids: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Texts that may hold a special string, by the library as they are."""
+        parts = []
+        for k in range(w.n_docs):
+            t = column[w.first + k].as_py() or ""
+            parts.append(np.array(self.library.encode(t, add_special_tokens=False).ids, np.uint32) if "<|" in t else ids[bounds[k]:bounds[k + 1]])
+        return np.concatenate(parts), np.concatenate([[0], np.cumsum([len(p) for p in parts])])
+
+    def encode(self, pieces: list[bytes]) -> list[bytes]:
+        """Ids of each piece as little-endian 32-bit bytes."""
+        known: dict[bytes, bytes] = {}
+        plain, rest = [], []
         match = PLAIN.fullmatch
         for p in pieces:
             m = match(p) if self.lower else None
@@ -106,34 +193,7 @@ class PieceTokenizer:
             known.update([(p, of[w] + signs[c]) for p, w, c in plain])
         for p, e in zip(rest, self.library.encode_batch_fast([p.decode("utf-8") for p in rest], add_special_tokens=False)):
             known[p] = array("I", e.ids).tobytes()
-
-    def batch(self, texts: list[bytes | None]):
-        """Ids of each UTF-8 text, in order; unknown pieces are encoded
-        together for every few texts."""
-        waiting: list[tuple[list[bytes], list[bytes | None], list[int]]] = []
-        missing: set[bytes] = set()
-        get = self.known.get
-        for t in texts:
-            pieces = self.pieces(t)
-            ids = list(map(get, pieces))
-            new = [k for k, x in enumerate(ids) if x is None] if None in ids else []
-            missing.update([pieces[k] for k in new])
-            waiting.append((pieces if new else [], ids, new))
-            if len(missing) >= LEARN_AT or len(waiting) >= 512:
-                yield from self._flush(waiting, missing)
-                waiting, missing = [], set()
-        yield from self._flush(waiting, missing)
-
-    def _flush(self, waiting, missing):
-        if missing:
-            self.learn(missing)
-        known = self.known
-        for pieces, ids, new in waiting:
-            for k in new:
-                ids[k] = known[pieces[k]]
-            yield b"".join(ids)
-        if len(known) > self.kept:
-            known.clear()
+        return [known[p] for p in pieces]
 
 
 @lru_cache(maxsize=2)
