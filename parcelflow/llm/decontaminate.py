@@ -23,6 +23,7 @@ import re
 from collections.abc import Iterator
 from functools import lru_cache
 
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -77,7 +78,7 @@ def scan(text: str | None, automaton) -> tuple[int, list[tuple[int, int]], set]:
         return len(w), [], set()
     ranges, items = [], set()
     matches = automaton.iter(f" {b' '.join(w).decode('latin-1')} ")
-    last, seen, ends = -1, 0, None
+    ends = None
     for end, (n, ids) in matches:
         if ends is None:
             ends, at = {}, 0
@@ -161,8 +162,6 @@ def spans(text: str | None, ranges: list[tuple[int, int]]) -> list[tuple[int, in
 
 def original_spans(text: Column | str, ranges: Column | str) -> Column:
     """Column of ``spans``: array of struct(start, end) into the text."""
-    import pandas as pd
-
     @F.pandas_udf("array<struct<start:int,end:int>>")
     def of(t: pd.Series, r: pd.Series) -> pd.Series:
         return pd.Series([[{"start": a, "end": b} for a, b in spans(x, [(y["first"], y["end"]) for y in rs])] for x, rs in zip(t, r)])

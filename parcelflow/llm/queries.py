@@ -2,15 +2,17 @@
 
 from __future__ import annotations
 
-from . import decontaminate, near_dedup, packing, pii, quality_rules, sharding
+from . import decontaminate, near_dedup, packing, pii, quality_rules, sharding, token_counts, url_filter
 
 QUERIES = {
     "op1_pii_surrogates": pii.op1_pii_surrogates,
+    "op2_url_gbt": url_filter.op2_url_gbt,
     "op3_quality_rules": quality_rules.op3_quality_rules,
     "op4_near_dedup": near_dedup.op4_near_dedup,
     "op5_label_propagation": sharding.op5_label_propagation,
     "op7_decontaminate": decontaminate.op7_decontaminate,
     "op9_best_fit_packing": packing.op9_best_fit_packing,
+    "op10_token_counts": token_counts.op10_token_counts,
 }
 
 ORACLE = {
