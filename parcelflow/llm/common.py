@@ -48,6 +48,18 @@ def stored(df: DataFrame, name: str, partition_by: list[str] | None = None) -> D
     return spark.read.schema(df.schema).parquet(path)
 
 
+def release(spark: SparkSession) -> None:
+    """Let Spark drop the shuffle files of steps nobody refers to any more.
+
+    They go when the driver's garbage is collected; between the steps of a
+    long job that is asked for, so they don't add up on the executors' disks.
+    """
+    import gc
+
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def components(edges: DataFrame, name: str = "components", max_rounds: int = 60) -> DataFrame:
     """Connected components of ``edges(a, b)``: one row (id, component) per
     endpoint, where component is the smallest id reachable.

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import decontaminate, near_dedup, packing, pii, quality_rules, sharding, token_counts, url_filter
+from . import decontaminate, fm_dedup, near_dedup, packing, pii, quality_rules, repair_grammar, sharding, token_counts, url_filter
 
 QUERIES = {
     "op1_pii_surrogates": pii.op1_pii_surrogates,
@@ -10,7 +10,9 @@ QUERIES = {
     "op3_quality_rules": quality_rules.op3_quality_rules,
     "op4_near_dedup": near_dedup.op4_near_dedup,
     "op5_label_propagation": sharding.op5_label_propagation,
+    "op6_repair_files": repair_grammar.op6_repair_files,
     "op7_decontaminate": decontaminate.op7_decontaminate,
+    "op8_fm_dedup": fm_dedup.op8_fm_dedup,
     "op9_best_fit_packing": packing.op9_best_fit_packing,
     "op10_token_counts": token_counts.op10_token_counts,
 }
