@@ -69,13 +69,17 @@ def relationships(child: DataFrame, column: str, parent: DataFrame, field: str |
 
 
 def freshness(df: DataFrame, ts: str, now, warn_after_minutes: int = 30, error_after_minutes: int = 120,
-              filter_days: int | None = 3) -> DataFrame:
+              filter_days: int | None = 3,
+              partition_col: str = "event_date") -> DataFrame:
     """One row ``(max_loaded_at, age_minutes, status)``. Only rows of the
     last ``filter_days`` days are scanned (a partition-bounded read on a
     day-partitioned table); no rows at all is ``error``."""
     now_c = F.lit(str(now)).cast("timestamp")
     if filter_days is not None:
-        df = df.filter(F.col(ts) >= F.timestamp_add("DAY", F.lit(-int(filter_days)), now_c))
+        since = F.timestamp_add("DAY", F.lit(-int(filter_days)), now_c)
+        df = df.filter(F.col(ts) >= since)
+        if partition_col in df.columns:
+            df = df.filter(F.col(partition_col) >= F.to_date(since))   # prunes the day folders
     m = df.agg(F.max(ts).alias("max_loaded_at"))
     age = minutes_between(F.col("max_loaded_at"), now_c)
     status = (F.when(F.col("max_loaded_at").isNull() | (age >= error_after_minutes), "error")
@@ -99,22 +103,18 @@ def _status(n, severity):
     return "warn" if severity == "warn" else "fail"
 
 
-_SQL_WORDS = {"cast", "as", "string", "concat", "coalesce", "and", "or", "not", "null", "is", "lower", "upper",
-              "trim", "date", "timestamp", "bigint", "int", "long", "double"}
-
-
 def _missing_columns(expr: str, df: DataFrame) -> list[str]:
-    """Identifiers of a test expression that ``df`` does not have (checked on
-    the driver against the schema; no data is read)."""
-    import re
-    text = re.sub(r"'[^']*'", "", expr)
-    names = re.findall(r"[A-Za-z_][A-Za-z0-9_]*", text)
-    cols = {c.lower() for c in df.columns}
-    out = []
-    for n in names:
-        if n.lower() not in _SQL_WORDS and n.lower() not in cols and n not in out:
-            out.append(n)
-    return out
+    """The column of a test expression that ``df`` does not have, as Spark's
+    own analysis names it (no data is read)."""
+    from pyspark.errors import AnalysisException
+    try:
+        df.selectExpr(f"({expr}) AS _test")
+    except AnalysisException as e:
+        name = (e.getMessageParameters() or {}).get("objectName")
+        if not (e.getCondition() or "").startswith("UNRESOLVED_COLUMN") or not name:
+            raise
+        return [name.replace("`", "")]
+    return []
 
 
 def run_suite(spark: SparkSession, tables: dict[str, DataFrame], checks) -> DataFrame:

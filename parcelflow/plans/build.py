@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.aggregates import high_water
-from ..sources.tables import exists, partition_values, read_table, upsert
+from ..sources.tables import exists, partition_values, read_table, recover, upsert
 from . import facts
 from .silver import Incremental, silver_parcel_events, silver_parcel_latest
 
@@ -37,6 +37,7 @@ def _hw(spark: SparkSession, path: str, col: str, partition_col: str = "event_da
     day only: max(event_date) is the newest partition directory, and
     max(event_ts) lies in that partition because event_date = DATE(event_ts).
     A listing plus one day's scan instead of a full-table aggregate."""
+    recover(spark, path)
     days = partition_values(spark, path, partition_col)
     if not days:
         t = read_table(spark, path)

@@ -53,7 +53,7 @@ def configure(spark: SparkSession) -> SparkSession:
 def shared_dir(spark: SparkSession) -> str:
     """The cluster-shared folder named by ``spark.checkpoint.dir``.
 
-    Read from the session; only when it is unset (local tests) a private
+    Read from the session; only when it is unset and the session runs in one local JVM, a private
     temporary folder is created and registered as the checkpoint dir.
     """
     d = spark.conf.get("spark.checkpoint.dir", None)
@@ -63,6 +63,8 @@ def shared_dir(spark: SparkSession) -> str:
         cp = spark.sparkContext.getCheckpointDir()
         if cp:
             d = cp
+    if not d and not spark.sparkContext.master.split("[")[0] == "local":
+        raise ValueError("spark.checkpoint.dir is not set: on a cluster it must name a folder all executors share")
     if not d:
         d = tempfile.mkdtemp(prefix="parcelflow-")
         spark.sparkContext.setCheckpointDir(d)

@@ -9,12 +9,15 @@ Parquet tables, so the upsert works at partition-directory level:
    target rows whose key is in the updates (a key may move between days);
 3. new content of the touched partitions = their target rows ``left_anti``
    the updates, ``unionByName`` the updates;
-4. write that to a fresh staging folder, then swap partition directories
-   (delete old, rename staged) and delete touched partitions left empty.
+4. write that to a folder of its own, then record the swap in a journal
+   beside the table and carry it out: each touched day's old folder is moved
+   aside and the new one moved in. Nothing is deleted before the whole swap is
+   done, so a run that stops anywhere loses no row: the next run (or
+   :func:`recover`) finds the journal and carries the same swap to its end.
 
 All file operations use the Hadoop ``FileSystem`` of the path, so the same
 code runs on local disk, HDFS or an object store. Readers must not run
-during step 4 (it is not atomic across partitions). Small whole-table
+during the swap (it is not atomic across partitions). Small whole-table
 states (snapshots, dims) use :func:`write_version` / :func:`read_latest`
 instead: each run writes ``version=N`` and readers take the newest complete
 one, which is atomic.
@@ -23,6 +26,8 @@ one, which is atomic.
 from __future__ import annotations
 
 import datetime as _dt
+import json
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -73,10 +78,11 @@ def materialize(df: DataFrame, path: str, partition_by=None, cluster_by=None,
     """Write a model as a table: partition directories by day,
     rows clustered inside each file by ``cluster_by`` (sorted, so Parquet
     min/max statistics let later filters on those columns skip row groups).
-    The repartition by the partition column gives one writer task per day."""
+    Rows are rebalanced by the partition column: small days share a task, a
+    large day is split over as many as its size asks for."""
     w = df
     if partition_by:
-        w = w.repartition(*[F.col(c) for c in ([partition_by] if isinstance(partition_by, str) else partition_by)])
+        w = w.hint("rebalance", *([partition_by] if isinstance(partition_by, str) else partition_by))
     if cluster_by:
         w = w.sortWithinPartitions(*cluster_by)
     writer = w.write.mode(mode)
@@ -86,6 +92,7 @@ def materialize(df: DataFrame, path: str, partition_by=None, cluster_by=None,
 
 
 def read_table(spark: SparkSession, path: str) -> DataFrame | None:
+    recover(spark, path)
     return spark.read.parquet(path) if _is_table(spark, path) else None
 
 
@@ -110,7 +117,21 @@ def upsert(spark: SparkSession, path: str, updates: DataFrame, keys, partition_c
     for k in keys:
         e = F.col(k).isNull()
         null_key = e if null_key is None else null_key | e
-    upd = dedup_latest(updates, keys, [c for c in order if c in updates.columns] or keys)
+    recover(spark, path)
+    work = f"{path.rstrip('/')}__work-{uuid.uuid4().hex[:12]}"
+    try:
+        return _upsert(spark, path, work, updates, keys, partition_col, order, cluster_by, search_days, null_key)
+    finally:
+        fs, _, jvm = _fs(spark, path)
+        if not fs.exists(jvm.org.apache.hadoop.fs.Path(_journal(path))):
+            fs.delete(jvm.org.apache.hadoop.fs.Path(work), True)
+
+
+def _upsert(spark, path, work, updates, keys, partition_col, order, cluster_by, search_days, null_key) -> dict:
+    once = dedup_latest(updates, keys, [c for c in order if c in updates.columns] or keys)
+    # Written once: the steps below read the batch and don't evaluate it again.
+    once.write.parquet(f"{work}/updates")
+    upd = spark.read.schema(once.schema).parquet(f"{work}/updates")
     # One pass over the (already filtered) updates: NULL keys and touched days.
     stats = (upd.groupBy(F.col(partition_col).alias("p"))
              .agg(F.count(F.lit(1)).alias("n"), F.count_if(null_key).alias("nulls")).collect())
@@ -145,12 +166,8 @@ def upsert(spark: SparkSession, path: str, updates: DataFrame, keys, partition_c
     keep = target.filter(cond).join(upd.select(*keys), keys, "left_anti")
     new_content = keep.unionByName(upd.select(*target.columns))
 
-    staging = path.rstrip("/") + "__staging"
-    fs, _, jvm = _fs(spark, staging)
-    if fs.exists(jvm.org.apache.hadoop.fs.Path(staging)):
-        fs.delete(jvm.org.apache.hadoop.fs.Path(staging), True)
-    materialize(new_content, staging, partition_col, cluster_by, mode="overwrite")
-    _swap(spark, staging, path, partition_col, touched)
+    materialize(new_content, f"{work}/new", partition_col, cluster_by, mode="overwrite")
+    _swap(spark, work, path, partition_col, touched)
     return {"inserted_or_updated": n_updates, "partitions": len(touched)}
 
 
@@ -158,17 +175,55 @@ def _part_dir(partition_col: str, value) -> str:
     return f"{partition_col}={'__HIVE_DEFAULT_PARTITION__' if value is None else value}"
 
 
-def _swap(spark: SparkSession, staging: str, path: str, partition_col: str, touched) -> None:
+def _journal(path: str) -> str:
+    return path.rstrip("/") + "__journal"
+
+
+def _swap(spark: SparkSession, work: str, path: str, partition_col: str, touched) -> None:
+    """Record which day folders of ``work/new`` replace the table's, then do it."""
     fs, _, jvm = _fs(spark, path)
     P = jvm.org.apache.hadoop.fs.Path
-    for d in touched:
-        name = _part_dir(partition_col, d)
-        dst, src = P(f"{path}/{name}"), P(f"{staging}/{name}")
-        if fs.exists(dst):
-            fs.delete(dst, True)
-        if fs.exists(src):
-            fs.rename(src, dst)
-    fs.delete(P(staging), True)
+    names = [_part_dir(partition_col, d) for d in touched]
+    filled = [n for n in names if fs.exists(P(f"{work}/new/{n}"))]
+    plan = json.dumps({"work": work, "filled": filled, "emptied": [n for n in names if n not in filled]})
+    out = fs.create(P(_journal(path) + "__new"), True)
+    out.write(bytearray(plan.encode("utf-8")))
+    out.close()
+    _rename(fs, P(_journal(path) + "__new"), P(_journal(path)))
+    recover(spark, path)
+
+
+def _rename(fs, a, b) -> None:
+    if not fs.rename(a, b):
+        raise OSError(f"cannot rename {a} to {b}")
+
+
+def recover(spark: SparkSession, path: str) -> bool:
+    """Carry a recorded swap to its end; True if there was one.
+
+    Every step can be repeated: a day whose new folder is gone from the work
+    folder has been moved in; an old folder is only moved aside, never deleted
+    before the journal is.
+    """
+    fs, _, jvm = _fs(spark, path)
+    P = jvm.org.apache.hadoop.fs.Path
+    if not fs.exists(P(_journal(path))):
+        return False
+    stream = fs.open(P(_journal(path)))
+    plan = json.loads(jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8"))
+    stream.close()
+    work = plan["work"]
+    fs.mkdirs(P(f"{work}/old"))
+    for name in [*plan["filled"], *plan["emptied"]]:
+        new, live, old = P(f"{work}/new/{name}"), P(f"{path}/{name}"), P(f"{work}/old/{name}")
+        waiting = fs.exists(new) or (name in plan["emptied"] and not fs.exists(old))
+        if waiting and fs.exists(live):
+            _rename(fs, live, old)
+        if fs.exists(new):
+            _rename(fs, new, live)
+    fs.delete(P(_journal(path)), False)
+    fs.delete(P(work), True)
+    return True
 
 
 def write_version(df: DataFrame, path: str) -> str:
