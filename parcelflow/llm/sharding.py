@@ -6,7 +6,8 @@ copies is ever formed. The method (after Ugander and Backstrom, 2013):
 
 1. documents are dealt over the shards evenly by rank;
 2. in each round every linked document looks at the shard that holds most of
-   its neighbours. If that gains it neighbours it asks to move there;
+   its neighbours, among those with room. If that gains it neighbours it asks
+   to move there;
 3. each shard admits the requests with the highest gain up to its quota of
    linked documents, the even share; the others stay;
 4. documents without links fill the shards up to the even share, moving only
@@ -33,7 +34,7 @@ from pyspark.sql import functions as F
 from .common import numbered, stored, table, text_of
 
 SHARDS = 40
-ROUNDS = 6
+ROUNDS = 16
 #: Rows ranked together in one task, about.
 CELL_ROWS = 20_000
 ROW_BYTES = 16
@@ -62,10 +63,12 @@ def propagate(vertices: DataFrame, shards: int = SHARDS, rounds: int = ROUNDS) -
     for _ in range(rounds):
         linked = now.where("_s_group is not null")
         hist = linked.groupBy("_s_group", "shard").agg(F.count("*").alias("c"))
-        # The shard with most of the group; ties go to a shard that depends on the group.
-        best = hist.groupBy("_s_group").agg(F.max(F.struct("c", F.xxhash64("_s_group", "shard").alias("h"), "shard")).alias("b"))
-        want = (linked.join(hist.withColumnRenamed("c", "here"), ["_s_group", "shard"]).join(best, "_s_group")
-                .select("_s_row", "_s_group", "shard", F.col("b.shard").alias("to"), (F.col("b.c") - (F.col("here") - 1)).alias("gain")))
+        # The shard with most of the group, among those with room for linked rows; ties go to a shard that depends on the group.
+        held = linked.groupBy("shard").agg(F.count("*").alias("held"))
+        roomy = held.where(F.col("held") < share(F.col("shard"))).select("shard")
+        best = hist.join(roomy, "shard").groupBy("_s_group").agg(F.max(F.struct("c", F.xxhash64("_s_group", "shard").alias("h"), "shard")).alias("b"))
+        want = (linked.join(hist.withColumnRenamed("c", "here"), ["_s_group", "shard"]).join(best, "_s_group", "left")
+                .select("_s_row", "_s_group", "shard", F.coalesce("b.shard", "shard").alias("to"), F.coalesce(F.col("b.c") - (F.col("here") - 1), F.lit(0)).alias("gain")))
         # Those that stay come first, then movers by gain; beyond the quota a mover is refused.
         asked = want.withColumn("to", F.when(F.col("gain") > 0, F.col("to")).otherwise(F.col("shard")))
         asked = asked.withColumn("_s_turn", F.when(F.col("to") == F.col("shard"), F.lit(0)).otherwise(-F.col("gain")))

@@ -118,14 +118,22 @@ def test_sharding_even_whole_and_linked(spark):
     assert len(by) == 7 and max(map(len, by.values())) - min(map(len, by.values())) <= 1
     text = {r[0]: r[1] or "" for r in C.rows(copies)}
     assert all((r.size, r.text_crc32) == (len(text[r.doc_id].encode()) + 16, zlib.crc32(text[r.doc_id].encode())) for r in rows)
-    placed = out.where("size > 16").withColumn("text", F.col("text_crc32"))
-    r = S.cut_links(placed, ["text"]).first()
-    assert r.cut < 0.6 * r.links          # the hot text alone needs three shards
-    small = S.cut_links(placed.groupBy("text", "shard").count().join(placed.groupBy("text").count().where("count <= 6").select("text"), "text"), ["text"]).first()
-    assert small.links is not None
+    # Nearly every row is linked and the hot text alone needs three shards: an even deal cuts 6 links in 7.
+    r = S.cut_links(out.where("size > 16"), ["text_crc32"]).first()
+    assert r.cut < 0.75 * r.links
     assert S.shard(C.empty(spark)).count() == 0
 
 
+def test_sharding_keeps_groups_whole_where_others_can_move(spark):
+    texts = [f"copy {k}" for k in range(40) for _ in range(5)] + ["hot"] * 400 + [f"alone {k}" for k in range(1400)]
+    out = S.shard(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(4), shards=8)
+    counts = [r["count"] for r in out.groupBy("shard").count().collect()]
+    assert sorted(counts) == [250] * 8
+    small = out.join(out.groupBy("text_crc32").count().where("count between 2 and 5").select("text_crc32"), "text_crc32")
+    assert S.cut_links(small, ["text_crc32"]).first().cut == 0
+    assert out.where(F.col("text_crc32") == zlib.crc32(b"hot")).select("shard").distinct().count() == 2
+
+
 URLS = [(1, "HTTP://WWW.Example.NET/en/x?q=1#f"), (2, "https://example.com/de/1"), (3, "https://a.org/fr/"), (4, "https://a.org"), (5, None), (6, ""), (7, "no host"), (8, "ftp://notexample.net"),
         (9, "https://example.com/en/"), (10, "http://net/x"), (11, "https://x.net?en=/en/"), (12, "a://b://c.net/d"), (13, "https://sub.example.net/en/")]
 
