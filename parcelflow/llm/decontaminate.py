@@ -21,7 +21,6 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
-from functools import lru_cache
 
 import pandas as pd
 import pyarrow as pa
@@ -29,6 +28,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import stored, table
+from .worker import keep
 
 WINDOW = 13
 #: A document is contaminated when hit words are at least one in so many.
@@ -58,16 +58,18 @@ def item_windows(items: list[tuple], window: int = WINDOW) -> dict[str, tuple[in
     return {k: (n, tuple(sorted(ids))) for k, (n, ids) in found.items()}
 
 
-@lru_cache(maxsize=1)
 def _automaton(key: str, shared):
     import ahocorasick
 
-    a = ahocorasick.Automaton()
-    for pattern, value in shared.value.items():
-        a.add_word(pattern, value)
-    if len(a):
-        a.make_automaton()
-    return a
+    def build():
+        a = ahocorasick.Automaton()
+        for pattern, value in shared.value.items():
+            a.add_word(pattern, value)
+        if len(a):
+            a.make_automaton()
+        return a
+
+    return keep(("automaton", key), build)
 
 
 def scan(text: str | None, automaton) -> tuple[int, list[tuple[int, int]], set]:

@@ -41,6 +41,7 @@ from pyspark.sql import functions as F
 
 from . import wordhash as W
 from .common import release, stored, table
+from .worker import drop
 
 WINDOW = 35
 #: Words of an anchor; longer ones recur less by chance, shorter ones make longer segments.
@@ -85,6 +86,7 @@ def _runs(window: int, gram: int):
     schema = pa.schema([("_f_row", pa.int64()), ("first", pa.int32()), ("n", pa.int32()), ("anchor", pa.int64())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        drop()
         for batch in batches:
             for w in W.slices(batch.column(1), W.NOT_SPACE, W.SAME):
                 d, first, n, a = anchors(w, window, gram)
@@ -104,6 +106,7 @@ def _cutter(window: int):
     schema = pa.schema([("_f_row", pa.int64()), ("first", pa.int32()), ("route", pa.int64()), ("words", pa.binary())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        drop()
         for batch in batches:
             runs = batch.column(2).to_pylist()
             for w in W.slices(batch.column(1), W.NOT_SPACE, W.SAME):
@@ -287,6 +290,7 @@ def repeated_runs(segments: list[np.ndarray], places: np.ndarray, width: int) ->
 
 def _search(width: int):
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        drop()
         runs = repeated_runs([np.frombuffer(x, np.uint32) for x in pdf["words"]], pdf["places"].to_numpy(), width)
         keep = [k for k, r in enumerate(runs) if r]
         return pd.DataFrame({"segment": pdf["segment"].to_numpy()[keep], "found": [[{"o": a, "n": n} for a, n in runs[k]] for k in keep]})

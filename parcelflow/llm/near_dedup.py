@@ -30,6 +30,7 @@ from pyspark.sql import functions as F
 
 from . import wordhash as W
 from .common import components, stored, table
+from .worker import drop
 
 #: Bands and rows a band. At a similarity of 0.85 a link's chance to share no
 #: band is (1 - 0.85 ** 8) ** 48 = 2e-7; at 0.8 it is 2e-4.
@@ -105,6 +106,7 @@ def _signatures(width: int, bands: int, rows: int):
                         ("_m_bands", pa.list_(pa.int64()))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        drop()
         for batch in batches:
             ids = batch.column(0)
             for w in W.slices(batch.column(1), W.NOT_SPACE, W.LOWER):
@@ -124,6 +126,7 @@ def _sets(width: int):
     schema = pa.schema([("_m_id", pa.int64()), ("_m_set", pa.list_(pa.int64()))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        drop()
         for batch in batches:
             ids = batch.column(0)
             for w in W.slices(batch.column(1), W.NOT_SPACE, W.LOWER):

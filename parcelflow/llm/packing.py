@@ -25,6 +25,7 @@ from pyspark.sql import functions as F
 
 from .common import stored, table
 from .tokens import piece_tokenizer, tokenizer_path
+from .worker import trim
 
 CAPACITY = 4096
 END_ID = 1
@@ -55,6 +56,7 @@ def _cutter(path: str, capacity: int, end_id: int):
                 raw, at = memoryview(ids.tobytes()), 4 * (bounds[doc] + start)
                 crc = [zlib.crc32(raw[a:b]) for a, b in zip(at.tolist(), (at + 4 * length).tolist())]
                 yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(first + doc)), pa.array(piece, pa.int32()), pa.array(start), pa.array(length), pa.array(crc, pa.int64())], schema=schema)
+        trim()
 
     return run
 

@@ -31,7 +31,6 @@ from __future__ import annotations
 import json
 import re
 from collections.abc import Iterator
-from functools import lru_cache
 
 import pandas as pd
 import pyarrow as pa
@@ -40,12 +39,13 @@ from pyspark.sql import functions as F
 
 from .common import stored, table
 from .tokens import tokenizer_path
+from .worker import keep
 
 LIMIT = 2048
 #: Bytes of a chunk, about; a text is cut at any byte.
 CHUNK_BYTES = 1 << 16
-#: States and word counts a worker keeps before it starts anew.
-MAX_STATES, MAX_WORDS = 300_000, 700_000
+#: States, word counts and pair answers a worker keeps before it starts anew.
+MAX_STATES, MAX_WORDS, MAX_PAIRS = 150_000, 400_000, 500_000
 SPACE = re.compile(rb"[\x20\x09-\x0D]")
 
 
@@ -102,7 +102,7 @@ class Transducer:
         """Whether tokens a, b are the encoding of their concatenation."""
         ok = self.pair_ok.get((a, b))
         if ok is None:
-            if len(self.pair_ok) > 2_000_000:
+            if len(self.pair_ok) > MAX_PAIRS:
                 self.pair_ok.clear()
             ok = self.pair_ok[a, b] = self.encode(self.symbols(a) + self.symbols(b)) == [a, b]
         return ok
@@ -208,9 +208,8 @@ class Counter(dict):
         return data[:cut], sum(map(self.__getitem__, data[cut:last].split())), data[last:], True
 
 
-@lru_cache(maxsize=1)
 def _counter(path: str) -> Counter:
-    return Counter(path)
+    return keep(("counts", path), lambda: Counter(path))
 
 
 # ---- composition of chunk maps ----------------------------------------------

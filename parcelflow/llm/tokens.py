@@ -12,12 +12,12 @@ import json
 import re
 from array import array
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
 
 from . import wordhash as W
+from .worker import keep
 
 #: Pieces a worker keeps; beyond it the table starts anew (about 50 MB).
 TABLE_BITS, KEPT_PIECES = 21, 1_200_000
@@ -196,7 +196,6 @@ class PieceTokenizer:
         return [known[p] for p in pieces]
 
 
-@lru_cache(maxsize=2)
 def piece_tokenizer(path: str) -> PieceTokenizer:
-    """One per Python worker and file."""
-    return PieceTokenizer(path)
+    """The worker's own, one at a time."""
+    return keep(("pieces", path), lambda: PieceTokenizer(path))
