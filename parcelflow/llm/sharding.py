@@ -6,16 +6,20 @@ copies is ever formed. The method (after Ugander and Backstrom, 2013):
 
 1. documents are dealt over the shards evenly by rank;
 2. in each round every linked document looks at the shard that holds most of
-   its neighbours, among those with room. If that gains it neighbours it asks
-   to move there;
+   its neighbours; ties are drawn anew each round. A shard is full only when
+   documents that want to be there fill it: those that want to leave count as
+   room. Groups larger than a shard pass over full shards, of the others half,
+   drawn anew each round, so the rest of a full shard can swap. If the move
+   gains neighbours the document asks for it;
 3. each shard admits the requests with the highest gain up to its quota of
-   linked documents, the even share; the others stay;
-4. documents without links fill the shards up to the even share, moving only
-   where a shard is over it.
+   linked documents, the even share, less those that stay;
+4. a shard over its share gives up documents without links, then refused ones,
+   to the shards with room.
 
 So after every round the shards' row counts differ by one at most (law
 ``rows``), and a group larger than a shard spreads over as few as can hold it.
-Rounds end when no request is admitted, or after ``ROUNDS``.
+Rounds end when nobody can gain by a move, or when ``PATIENCE`` rounds in a row
+made no further link whole; the deal with the most whole links is the result.
 
 Ranks within a shard are taken in cells that grow in number with the rows and
 are summed up from the cells' counts, so no shard is ranked in one task.
@@ -34,7 +38,8 @@ from pyspark.sql import functions as F
 from .common import numbered, stored, table, text_of
 
 SHARDS = 40
-ROUNDS = 16
+#: Rounds without a further whole link after which the deal is final.
+PATIENCE = 4
 #: Rows ranked together in one task, about.
 CELL_ROWS = 20_000
 ROW_BYTES = 16
@@ -48,11 +53,11 @@ def _ranked(df: DataFrame, group: list[str], order: list[str], out: str, cells:
     return numbered(df, group, order, out, F.pmod(by, F.lit(cells)))
 
 
-def propagate(vertices: DataFrame, shards: int = SHARDS, rounds: int = ROUNDS) -> DataFrame:
+def propagate(vertices: DataFrame, shards: int = SHARDS, rounds: int | None = None) -> DataFrame:
     """``vertices`` (_s_row unique, _s_group or null) with ``shard``.
 
     Returns _s_row, _s_group, shard; the counts of the shards differ by one at
-    most. Vertices of one group are linked.
+    most. Vertices of one group are linked. ``rounds`` bounds the rounds, if given.
     """
     n = vertices.count()
     cells = _cells(n)
@@ -60,44 +65,58 @@ def propagate(vertices: DataFrame, shards: int = SHARDS, rounds: int = ROUNDS) -
     ranked = _ranked(rows.withColumn("_s_all", F.lit(0)), ["_s_all"], ["_s_row"], "_s_rank", cells, F.xxhash64("_s_row"))
     share = lambda s: F.lit(n // shards).cast("long") + (s < n % shards).cast("long")
     now = stored(ranked.select("_s_row", "_s_group", F.pmod("_s_rank", F.lit(shards)).cast("int").alias("shard")), "shards-round")
-    for _ in range(rounds):
+    best_deal, most, idle, turn, full = now, -1, 0, 0, []
+    while True:
         linked = now.where("_s_group is not null")
         hist = linked.groupBy("_s_group", "shard").agg(F.count("*").alias("c"))
-        # The shard with most of the group, among those with room for linked rows; ties go to a shard that depends on the group.
-        held = linked.groupBy("shard").agg(F.count("*").alias("held"))
-        roomy = held.where(F.col("held") < share(F.col("shard"))).select("shard")
-        best = hist.join(roomy, "shard").groupBy("_s_group").agg(F.max(F.struct("c", F.xxhash64("_s_group", "shard").alias("h"), "shard")).alias("b"))
-        want = (linked.join(hist.withColumnRenamed("c", "here"), ["_s_group", "shard"]).join(best, "_s_group", "left")
-                .select("_s_row", "_s_group", "shard", F.coalesce("b.shard", "shard").alias("to"), F.coalesce(F.col("b.c") - (F.col("here") - 1), F.lit(0)).alias("gain")))
+        # The shard with most of the group; ties go to a shard that depends on the group and the round.
+        most_of = F.struct("c", F.xxhash64("_s_group", "shard", F.lit(turn)).alias("h"), "shard")
+        groups = hist.groupBy("_s_group").agg(F.sum("c").alias("size"), F.collect_list(F.struct("c", "shard")).alias("places"),      # at most one entry per shard
+                                              F.max(most_of).alias("any"), F.max(F.when(~F.col("shard").isin(full), most_of)).alias("open"))
+        # A group that no shard can hold passes over the full ones; of the others half do, by a draw, so shards can swap.
+        large = F.col("size") > n // shards
+        passes = large | (F.pmod(F.xxhash64("_s_group", F.lit(-1 - turn)), F.lit(2)) == 0)
+        groups = stored(groups.withColumn("b", F.when(passes, F.col("open")).otherwise(F.col("any"))), "shards-groups")
+        could = F.when(large, F.exists("places", lambda x: (x["shard"] != F.col("open.shard")) & (x["c"] <= F.col("open.c")))).otherwise(F.size("places") > 1)
+        square = F.aggregate("places", F.lit(0).cast("decimal(38,0)"), lambda t, x: (t + x["c"].cast("decimal(19,0)") * x["c"]).cast("decimal(38,0)"))
+        seen = groups.agg(F.sum(square).alias("whole"), F.max(could).alias("could")).first()
+        whole = int(seen["whole"] or 0)
+        best_deal, most, idle = (now, whole, 0) if whole > most else (best_deal, most, idle + 1)
+        if not seen["could"] or idle >= PATIENCE or turn == rounds:
+            return best_deal
+        here = F.filter("places", lambda x: x["shard"] == F.col("shard"))[0]["c"]
+        want = (linked.join(groups.select("_s_group", "places", "b"), "_s_group")
+                .select("_s_row", "_s_group", "shard", F.coalesce("b.shard", "shard").alias("to"), F.coalesce(F.col("b.c") - (here - 1), F.lit(0)).alias("gain")))
         # Those that stay come first, then movers by gain; beyond the quota a mover is refused.
         asked = want.withColumn("to", F.when(F.col("gain") > 0, F.col("to")).otherwise(F.col("shard")))
         asked = asked.withColumn("_s_turn", F.when(F.col("to") == F.col("shard"), F.lit(0)).otherwise(-F.col("gain")))
         asked = asked.withColumn("_s_level", F.when(F.col("_s_turn") == 0, F.lit(-1)).otherwise(64 - F.least(F.lit(63), F.floor(F.log2(F.col("gain"))))).cast("int"))
         level = asked.groupBy("to", "_s_level").agg(F.count("*").alias("c"))
         before = level.withColumn("before", F.coalesce(F.sum("c").over(Window.partitionBy("to").orderBy("_s_level").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).drop("c")
-        asked = _ranked(asked, ["to", "_s_level"], ["_s_row"], "_s_place", cells, F.xxhash64("_s_row")).join(before, ["to", "_s_level"])
+        asked = _ranked(asked, ["to", "_s_level"], ["_s_row"], "_s_place", cells, F.xxhash64("_s_row", F.lit(turn))).join(before, ["to", "_s_level"])
         admitted = (F.col("_s_level") < 0) | (F.col("before") + F.col("_s_place") < share(F.col("to")))
         moved = asked.select("_s_row", "_s_group", F.when(admitted, F.col("to")).otherwise(F.col("shard")).alias("shard"),
-                             (admitted & (F.col("to") != F.col("shard"))).cast("long").alias("_s_moved"))
+                             F.when(admitted, F.lit(0)).otherwise(F.lit(1)).alias("_s_rank"))
         moved = stored(moved, "shards-moved")
-        moves = moved.agg(F.sum("_s_moved")).first()[0] or 0
-        now = _levelled(moved.drop("_s_moved"), now.where("_s_group is null"), n, shards, cells)
-        if not moves:
-            break
-    return now
+        settled = moved.where("_s_rank = 0").groupBy("shard").agg(F.count("*").alias("c"))
+        full = [r["shard"] for r in settled.where(F.col("c") >= share(F.col("shard"))).select("shard").collect()]      # at most one row per shard
+        now = _levelled(moved, now.where("_s_group is null"), n, shards, cells)
+        turn += 1
 
 
 def _levelled(linked: DataFrame, free: DataFrame, n: int, shards: int, cells: int) -> DataFrame:
-    """Even row counts: every shard keeps its linked rows, then its own free
-    rows, up to its share; what is over goes to the shards with room."""
+    """Even row counts: every shard keeps its linked rows that stay or were
+    admitted (``_s_rank`` 0), then refused ones (1), then its own free rows, up
+    to its share; what is over goes to the shards with room."""
     share = F.lit(n // shards).cast("long") + (F.col("shard") < n % shards).cast("long")
     all_shards = linked.sparkSession.range(shards).select(F.col("id").cast("int").alias("shard")).withColumn("share", share)
-    one = linked.withColumn("_s_free", F.lit(0)).unionByName(free.withColumn("_s_free", F.lit(1)))
-    # Linked rows first: a row beyond its shard's share is spare, free rows before linked ones.
-    counts = one.groupBy("shard").agg(F.sum(1 - F.col("_s_free")).alias("linked"), F.count("*").alias("held"))
-    counts = all_shards.join(counts, "shard", "left").na.fill(0, ["linked", "held"])
-    placed = _ranked(one, ["shard", "_s_free"], ["_s_row"], "_s_place", cells, F.xxhash64("_s_row")).join(counts, "shard")
-    place = F.col("_s_place") + F.when(F.col("_s_free") == 1, F.col("linked")).otherwise(0)
+    one = linked.unionByName(free.withColumn("_s_rank", F.lit(2)))
+    # A row beyond its shard's share is spare: free rows first, then refused ones.
+    upto_rank = lambda k: F.count(F.when(F.col("_s_rank") < k, 1))
+    counts = one.groupBy("shard").agg(upto_rank(1).alias("settled"), upto_rank(2).alias("linked"), F.count("*").alias("held"))
+    counts = all_shards.join(counts, "shard", "left").na.fill(0, ["settled", "linked", "held"])
+    placed = _ranked(one, ["shard", "_s_rank"], ["_s_row"], "_s_place", cells, F.xxhash64("_s_row")).join(counts, "shard")
+    place = F.col("_s_place") + F.when(F.col("_s_rank") == 2, F.col("linked")).when(F.col("_s_rank") == 1, F.col("settled")).otherwise(0)
     placed = stored(placed.select("_s_row", "_s_group", "shard", (place >= F.col("share")).alias("_s_spare")), "shards-placed")
     room = counts.select("shard", F.greatest(F.col("share") - F.col("held"), F.lit(0)).alias("room"))
     upto = Window.orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)     # one row per shard
@@ -110,7 +129,7 @@ def _levelled(linked: DataFrame, free: DataFrame, n: int, shards: int, cells: in
     return stored(placed.where(~F.col("_s_spare")).select("_s_row", "_s_group", "shard").unionByName(dealt), "shards-round")
 
 
-def shard(docs: DataFrame, shards: int = SHARDS, rounds: int = ROUNDS, text: str = "text", id_col: str = "doc_id") -> DataFrame:
+def shard(docs: DataFrame, shards: int = SHARDS, rounds: int | None = None, text: str = "text", id_col: str = "doc_id") -> DataFrame:
     """One row per document: id, size, text_crc32, shard and its slot there."""
     t = text_of(text)
     rows = docs.select(F.col(id_col), (F.octet_length(t) + ROW_BYTES).cast("long").alias("size"), F.crc32(t.cast("binary")).alias("text_crc32"),

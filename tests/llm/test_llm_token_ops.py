@@ -134,6 +134,22 @@ def test_sharding_keeps_groups_whole_where_others_can_move(spark):
     assert out.where(F.col("text_crc32") == zlib.crc32(b"hot")).select("shard").distinct().count() == 2
 
 
+def test_sharding_joins_pairs_where_every_row_is_linked(spark):
+    """No free row anywhere: full shards must swap, or the even deal stays and cuts 39 links in 40."""
+    texts = [f"pair {k // 2}" for k in range(4000)]
+    out = S.shard(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(4)).persist()
+    assert [r["count"] for r in out.groupBy("shard").count().collect()] == [100] * 40
+    r = S.cut_links(out, ["text_crc32"]).first()
+    assert r.links == 2000 and r.cut < 0.05 * r.links
+
+
+def test_sharding_large_group_takes_all_its_shards(spark):
+    """A group of three quarters of the rows fills 18 of 24 shards, one a round."""
+    texts = ["hot"] * 1800 + [f"alone {k}" for k in range(600)]
+    out = S.shard(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(4), shards=24)
+    assert out.where(F.col("text_crc32") == zlib.crc32(b"hot")).select("shard").distinct().count() == 18
+
+
 URLS = [(1, "HTTP://WWW.Example.NET/en/x?q=1#f"), (2, "https://example.com/de/1"), (3, "https://a.org/fr/"), (4, "https://a.org"), (5, None), (6, ""), (7, "no host"), (8, "ftp://notexample.net"),
         (9, "https://example.com/en/"), (10, "http://net/x"), (11, "https://x.net?en=/en/"), (12, "a://b://c.net/d"), (13, "https://sub.example.net/en/")]
 
