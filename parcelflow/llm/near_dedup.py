@@ -35,6 +35,8 @@ from .worker import drop
 #: Bands and rows a band. At a similarity of 0.85 a link's chance to share no
 #: band is (1 - 0.85 ** 8) ** 48 = 2e-7; at 0.8 it is 2e-4.
 BANDS, ROWS = 48, 8
+#: The pipeline stage's, for links at 0.8: (1 - 0.8 ** 7) ** 54 = 3e-6.
+STAGE_BANDS, STAGE_ROWS = 54, 7
 #: Hash classes of the bound on common shingles; more are tighter, and wider rows.
 CLASSES = 64
 FULL = np.uint64(0xFFFFFFFFFFFFFFFF)
@@ -238,8 +240,8 @@ def op4_near_dedup(spark, sf_dir: str) -> DataFrame:
 
 
 def stage(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pipeline stage: one document of each group of near duplicates (3-word
-    shingles, similarity 0.85), the one with the smallest id."""
-    found = near_duplicates(docs.select("doc_id", "text"), percent=85, width=3)
+    """Pipeline stage: one document of each group of near duplicates (5-word
+    shingles, similarity 0.8), the one with the smallest id."""
+    found = near_duplicates(docs.select("doc_id", "text"), percent=80, width=5, bands=STAGE_BANDS, rows=STAGE_ROWS)
     out = found.where(~F.col("kept")).select("doc_id")
     return docs.join(out, "doc_id", "left_anti")

@@ -77,6 +77,14 @@ def test_near_duplicates_across_components_of_one_bucket(spark):
     assert got == C.components(list(enumerate(texts)), 3, 85)
 
 
+def test_near_duplicates_stage_takes_five_words_and_four_fifths(spark):
+    """A copy with a fifth appended goes (0.83 at either width); one with 2.5 % scattered edits stays (0.77 at five words)."""
+    a, b = [f"a{k}" for k in range(200)], [f"b{k}" for k in range(200)]
+    texts = [a, a + [f"new{k}" for k in range(40)], b, [f"e{k}" if k % 40 == 20 else w for k, w in enumerate(b)]]
+    df = spark.createDataFrame([(k, " ".join(w)) for k, w in enumerate(texts)], "doc_id long, text string")
+    assert {r.doc_id for r in N.stage(spark, df, "").collect()} == {0, 2, 3}
+
+
 def test_decontaminate_equals_brute_force(spark):
     t = C.texts()
     items = [(1, " ".join(t[7].split()[20:60])), (2, t[12]), (3, "one"), (4, None), (5, " ,. "), (6, "Zwölf straße!"), (7, " ".join(t[7].split()[20:60]))]
