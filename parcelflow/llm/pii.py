@@ -39,15 +39,17 @@ SYLLABLES = {
 ENDINGS = {"latin": ("o", "a"), "cyrillic": ("", "а"), "greek": ("ος", "α")}
 
 TITLES = rf"(?=[{''.join(sorted({x[0] for x in MALE + FEMALE}))}])(?:{'|'.join(MALE + FEMALE)})"
-SECRETS = "(?:password|passwd|secret|token|api_key|apikey)"
+# A secret's keyword in any letter case and the sign, each perhaps with a quote and blanks around.
+SECRET_KEY = r"(?=[pstaPSTA])(?i:password|passwd|secret|token|api_key|apikey)[\"']?+[ \t]*+[=:][ \t]*+[\"']?+"
 
 # Entity patterns, in the order in which they are tried at one place. Each
-# begins with a test of one character, so most places fail at once.
+# begins with a test of one character, so most places fail at once. Secrets and
+# keys have no longest length; their repeats are possessive, so a long one is
+# read once.
 PATTERNS = {
     "email": r"(?<![\p{L}\p{N}._%+-])[\p{L}\p{N}._%+-]{1,64}+@[\p{L}\p{N}-]{1,63}(?:\.[\p{L}\p{N}-]{1,63}){1,8}",
     "access_key": r"AKIA(?<![A-Za-z0-9]AKIA)[0-9A-Z]{16}(?![A-Za-z0-9])",
-    "secret": rf"(?<=[=:])(?<={SECRETS}[=:])[^\s\"',;]{{4,256}}",
-    "hex_key": r"(?<![0-9A-Za-z])[0-9a-f]{32,64}(?![0-9A-Za-z])",
+    "hex_key": r"(?<![0-9A-Za-z])[0-9a-f]{32,}+(?![0-9A-Za-z])",
     "iban": r"(?<![A-Za-z0-9])[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){3,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9])",
     "ip": r"(?<![\d.])(?:(?:25[0-5]|2[0-4]\d|1?\d?\d)\.){3}(?:25[0-5]|2[0-4]\d|1?\d?\d)(?!\d|\.\d)",
     "phone": r"(?<![\w+])(?:(?:\+\d{1,3}[ .-]?)?\(\d{2,4}\)[ .-]?\d{3,4}[ .-]?\d{3,4}|\+\d{1,3}(?:[ .-]?\d{2,4}){2,5}|\d{3}[.-]\d{3}[.-]\d{4})(?!\d)",
@@ -55,9 +57,14 @@ PATTERNS = {
     "card": r"(?<![\d.])(?:\d{13,19}|(?:\d{4}[ -]){3}\d{4})(?!\d)",
     "name": rf"{TITLES}(?<!\p{{L}}(?:{'|'.join(MALE + FEMALE)}))\.? \p{{Lu}}\p{{Ll}}{{1,30}}+(?: \p{{Lu}}\p{{Ll}}{{1,30}}+)?",
 }
+# A secret is the keyword, the sign and the value: what stands before white
+# space, a quote, a comma or a semicolon. A value that is as a whole an entity
+# of another kind is left to that kind; one without a letter or digit is a mask.
+_OTHER = "|".join(f"(?:{p})" for k, p in PATTERNS.items() if k != "hex_key")
+PATTERNS["secret"] = rf"{SECRET_KEY}(?!(?:{_OTHER})[.!?)\]]*+(?:[\s\"',;]|$))(?=[^\s\"',;\p{{L}}\p{{N}}]*+[\p{{L}}\p{{N}}])[^\s\"',;]{{4,}}+"
 ANY = "|".join(f"(?:{p})" for p in PATTERNS.values())
 #: Texts without any of these hold no entity; a cheap test before ``ANY``.
-HINT = rf"[@0-9]|AKIA|{TITLES}\.? \p{{Lu}}|[=:](?<={SECRETS}[=:])"
+HINT = rf"[@0-9]|AKIA|{TITLES}\.? \p{{Lu}}|[a-f]{{32}}|{SECRET_KEY}"
 MAX_DRAWS = 40
 
 
@@ -72,9 +79,9 @@ def entities(text: Column) -> Column:
 def kind(value: Column) -> Column:
     """Type of an entity found by ``ANY``."""
     out = None
-    shapes = {"email": "@", "name": rf"^(?:{'|'.join(MALE + FEMALE)})\.? \p{{Lu}}", "access_key": "^AKIA[0-9A-Z]{16}$",
+    shapes = {"secret": rf"^{SECRET_KEY}", "email": "@", "name": rf"^(?:{'|'.join(MALE + FEMALE)})\.? \p{{Lu}}", "access_key": "^AKIA[0-9A-Z]{16}$",
               "ip": r"^\d{1,3}(?:\.\d{1,3}){3}$", "ssn": r"^\d{3}-\d{2}-\d{4}$", "card": r"^(?:\d{13,19}|(?:\d{4}[ -]){3}\d{4})$",
-              "iban": r"^[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){3,7}(?: ?[A-Z0-9]{1,3})?$", "phone": r"^[+(\d][\d() .-]+$", "hex_key": "^[0-9a-f]{32,64}$"}
+              "iban": r"^[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){3,7}(?: ?[A-Z0-9]{1,3})?$", "phone": r"^[+(\d][\d() .-]+$", "hex_key": "^[0-9a-f]{32,}$"}
     for k, p in shapes.items():
         out = (F.when if out is None else out.when)(value.rlike(p), F.lit(k))
     return out.otherwise(F.lit("secret"))
@@ -95,8 +102,11 @@ def parts(value: Column) -> Column:
     name = F.when(F.size(w) > 2, F.array(_part(_first_type(value), F.lower(F.get(w, 1))), _part("family", F.lower(F.get(w, 2))))
                   ).otherwise(F.array(_part("family", F.lower(F.get(w, 1)))))
     plain = (F.when(k.isin("phone", "card", "ssn"), F.regexp_replace(value, "[^0-9]", ""))
-             .when(k == "iban", F.regexp_replace(value, " ", "")).when(k == "email", F.lower(value)).otherwise(value))
-    return F.when(k == "name", name).otherwise(F.array(_part(k, plain)))
+             .when(k == "iban", F.regexp_replace(value, " ", "")).when(k == "email", F.lower(value))
+             .when(k == "secret", F.regexp_replace(value, f"^{SECRET_KEY}", "")).otherwise(value))
+    # A key of hex digits is one entity, with or without a keyword before it.
+    type_ = F.when((k == "secret") & plain.rlike("^[0-9a-f]{32,}$"), F.lit("hex_key")).otherwise(k)
+    return F.when(k == "name", name).otherwise(F.array(_part(type_, plain)))
 
 
 def _draw(key: str, type_: Column, canonical: Column, draw: Column) -> Column:
@@ -174,6 +184,8 @@ def surrogate(key: str, type_: Column, canonical: Column, draw: Column) -> Colum
             .when(type_ == "access_key", _letterwise(canonical, d, F.lit(4))).when(type_ == "iban", _letterwise(canonical, d, F.lit(2)))
             .when(type_.isin("first_m", "first_f", "family"), _name(type_, canonical, d, draw))
             .when(type_ == "phone", _letterwise(canonical, d, F.greatest(F.char_length(canonical) - 9, F.lit(0))))
+            # A short secret has few surrogates of its form; later draws are longer, so there is always a free one.
+            .when(type_ == "secret", F.concat(_letterwise(canonical, d, F.lit(0)), F.substring(d, F.lit(1), F.greatest(draw - 3, F.lit(0)).cast("int"))))
             .otherwise(_letterwise(canonical, d, F.lit(0))))
 
 
@@ -203,6 +215,7 @@ def replacement(key: str, value: Column, redrawn: Column) -> Column:
     title = F.substring_index(value, " ", 1)
     return (F.when(k == "name", F.concat_ws(" ", title, F.array_join(F.transform(news, lambda x: F.initcap(x)), " ")))
             .when(k.isin("phone", "card", "ssn", "iban"), _poured(value, F.get(news, 0)))
+            .when(k == "secret", F.concat(F.regexp_extract(value, f"^{SECRET_KEY}", 0), F.get(news, 0)))
             .when(k == "email", _cased(value, F.get(news, 0))).otherwise(F.get(news, 0)))
 
 

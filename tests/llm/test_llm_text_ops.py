@@ -169,3 +169,29 @@ def test_surrogates_stay_distinct_where_draws_clash(spark):
     for k, v in new.items():
         groups[v].add(k)
     assert all(len(v) == 1 for v in groups.values())
+
+
+def test_secrets_of_any_length_and_form(spark):
+    """Long secrets and keys go whole; spaces, quotes and letter case around the sign are allowed."""
+    rnd = np.random.default_rng(3)
+    draw = lambda alphabet, n: "".join(rnd.choice(list(alphabet), n))
+    jwt, sha, long_key = draw("abcdefghijkXYZ0123456789_-", 600), draw("0123456789abcdef", 128), draw("0123456789abcdef", 5000)
+    secrets = {f"a token={jwt} b": jwt, f"a {sha} b": sha, f"a {long_key}": long_key, 'token = "zebra-Quartz7" b': "zebra-Quartz7", 'password = "hunter2"': "hunter2",
+               "API_KEY=Zq81xyz b": "Zq81xyz", "Password : 'swordfish' b": "swordfish", '{"secret": "tr0ub4dor&3@x.longtail"}': "tr0ub4dor&3@x.longtail",
+               "ApiKey:\tabcd": "abcd", f"token = \"{'deadbeef' * 5}\"": "deadbeef" * 5, "letters only " + "abcdef" * 6: "abcdef" * 6}
+    kept = ["password = ****", "the secret is out", "token: a b", f"x{sha}"]
+    same = [f"{sha} and token = '{sha}'", "token: 4111 1111 1111 1111 or 4111111111111111", "secret: ann@mail.example.com, ann@mail.example.com", *(f"token={c}***" for c in "abcdefghijklmnopqrstuvwxyz")]
+    texts = [*secrets, *kept, *same]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    got = {texts[r.doc_id]: r.text for r in P.replace_pii(df, out_count="n").collect()}
+    for text, secret in secrets.items():
+        new, (before, after) = got[text], text.split(secret)
+        assert new.startswith(before) and new.endswith(after) and len(new) == len(text)
+        assert not any(secret[k:k + 24] in new for k in range(0, max(1, len(secret) - 24), 8)), text
+    assert all(got[t] == t for t in kept)
+    a, b = re.findall("[0-9a-f]{128}", got[same[0]])
+    assert a == b != sha
+    assert re.sub(r"\D", "", got[same[1]].split("or")[0]) == re.sub(r"\D", "", got[same[1]].split("or")[1]) and "1111 1111" not in got[same[1]]
+    a, b = got[same[2]].removeprefix("secret: ").split(", ")
+    assert a == b != "ann@mail.example.com"
+    assert len({got[t] for t in same[3:]}) == 26
