@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import decontaminate, fm_dedup, near_dedup, packing, periodic_runs, pii, quality_rules, repair_grammar, sharding, token_counts, url_filter, vector_codes
+from . import decontaminate, fm_dedup, histogram_packing, near_dedup, packing, periodic_runs, pii, quality_rules, repair_grammar, sharding, token_counts, url_filter, vector_codes
 
 QUERIES = {
     "op1_pii_surrogates": pii.op1_pii_surrogates,
@@ -16,6 +16,7 @@ QUERIES = {
     "op9_best_fit_packing": packing.op9_best_fit_packing,
     "op10_token_counts": token_counts.op10_token_counts,
     "op11_periodic_runs": periodic_runs.op11_periodic_runs,
+    "op12_nnls_packing": histogram_packing.op12_nnls_packing,
     "op13_vector_codes": vector_codes.op13_vector_codes,
 }
 

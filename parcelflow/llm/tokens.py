@@ -19,7 +19,7 @@ import pyarrow as pa
 from . import wordhash as W
 from .worker import keep
 
-#: Pieces a worker keeps; beyond it the table starts anew (about 50 MB).
+#: Pieces a worker keeps between slices; beyond it the table starts anew (about 50 MB). A slice with more grows the table.
 TABLE_BITS, KEPT_PIECES = 21, 1_200_000
 #: Bytes of text turned into ids at once.
 SLICE_BYTES = 2 << 20
@@ -56,7 +56,7 @@ class PieceTokenizer:
     them as they are; every other piece goes through the whole tokenizer.
     """
 
-    def __init__(self, path: str, kept: int = KEPT_PIECES):
+    def __init__(self, path: str, kept: int = KEPT_PIECES, bits: int = TABLE_BITS):
         from tokenizers import Tokenizer
 
         with open(path, encoding="utf-8") as f:
@@ -67,7 +67,7 @@ class PieceTokenizer:
         lowers = any(x.get("type") == "Lowercase" for x in (parts.get("normalizer") or {}).get("normalizers", []))
         self.end = parts["model"].get("end_of_word_suffix") or ""
         self.lower = bool(lowers and self.end)
-        self.kept = kept
+        self.kept, self.first_bits = kept, bits
         self._clear()
         if self.lower:
             parts |= {"normalizer": None, "pre_tokenizer": {"type": "CharDelimiterSplit", "delimiter": " "}, "added_tokens": [], "post_processor": None}
@@ -79,14 +79,18 @@ class PieceTokenizer:
             self.signs = {c.encode(): int(vocabulary[c + self.end]).to_bytes(4, "little") for c in ".,;:!?"} | {b"": b""}
 
     def _clear(self) -> None:
-        self.keys = np.zeros(1 << TABLE_BITS, np.uint64)      # 0: free
-        self.places = np.zeros(1 << TABLE_BITS, np.int32)
+        self._empty_table(self.first_bits)
         self.start, self.length = np.zeros(1 << 16, np.int64), np.zeros(1 << 16, np.int64)
         self.pool = np.zeros(1 << 20, np.uint32)
         self.n_pieces = self.n_pool = 0
 
+    def _empty_table(self, bits: int) -> None:
+        self.bits = bits
+        self.keys = np.zeros(1 << bits, np.uint64)      # 0: free
+        self.places = np.zeros(1 << bits, np.int32)
+
     def _slots(self, keys: np.ndarray) -> np.ndarray:
-        return (keys >> np.uint64(64 - TABLE_BITS)).astype(np.int64)
+        return (keys >> np.uint64(64 - self.bits)).astype(np.int64)
 
     def _find(self, keys: np.ndarray) -> np.ndarray:
         """Place of each key's piece, or -1."""
@@ -94,7 +98,7 @@ class PieceTokenizer:
         seen = self.keys[at]
         out = np.where(seen == keys, self.places[at], -1)
         todo = np.flatnonzero((seen != keys) & (seen != 0))
-        mask = (1 << TABLE_BITS) - 1
+        mask = (1 << self.bits) - 1
         while len(todo):
             at[todo] = (at[todo] + 1) & mask
             seen = self.keys[at[todo]]
@@ -104,8 +108,17 @@ class PieceTokenizer:
         return out
 
     def _insert(self, keys: np.ndarray, places: np.ndarray) -> None:
-        """Add distinct keys that are not in the table."""
-        at, mask = self._slots(keys), (1 << TABLE_BITS) - 1
+        """Add distinct keys that are not in the table, which stays at most half full."""
+        size = self.n_pieces + len(keys)
+        if 2 * size > len(self.keys):
+            old = np.flatnonzero(self.keys)
+            old_keys, old_places = self.keys[old], self.places[old]
+            self._empty_table((2 * size - 1).bit_length())
+            self._insert_all(old_keys, old_places)
+        self._insert_all(keys, places)
+
+    def _insert_all(self, keys: np.ndarray, places: np.ndarray) -> None:
+        at, mask = self._slots(keys), (1 << self.bits) - 1
         while len(keys):
             free = np.flatnonzero(self.keys[at] == 0)
             slot, first = np.unique(at[free], return_index=True)

@@ -190,3 +190,102 @@ def test_op13_query(spark, tmp_path):
         want, _ = op13_expected(exact)
         got = [tuple(r) for r in V.op13_vector_codes(spark, f"{tmp_path}/{name}").collect()]
         assert sorted(got, key=_key) == sorted(want, key=_key), name
+
+
+# ---- op12 -----------------------------------------------------------------------
+
+import pyarrow as pa  # noqa: E402
+
+from parcelflow.llm import histogram_packing as H  # noqa: E402
+from parcelflow.llm.tokens import PieceTokenizer, tokenizer_path  # noqa: E402
+
+PATH = tokenizer_path()
+
+
+def test_combinations_fill_the_window():
+    got = H.combinations(64, 4)
+    want = {tuple(sorted((a, b, c, 64 - a - b - c), reverse=True)) for a in range(65) for b in range(65 - a) for c in range(65 - a - b)}
+    assert {tuple([*c, 0, 0, 0][:4]) for c in got} == want and len(got) == len(want)
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.integers(1, 6), st.integers(1, 9), st.integers(0, 10**6))
+def test_nnls_meets_the_optimality_conditions(m, n, seed):
+    rnd = np.random.default_rng(seed)
+    a, b = rnd.integers(0, 3, (m, n)).astype(float), rnd.integers(0, 30, m).astype(float)
+    x = H.nnls(a, b, 1000)
+    g = a.T @ (b - a @ x)                       # no column can lower the residual, and those in use are at their best
+    assert (x >= 0).all() and g.max() <= 1e-6 and np.abs(g[x > 0]).max(initial=0) <= 1e-6
+
+
+def check_places(lengths, capacity):
+    doc, start, length, seq, offset = (x.tolist() for x in H.place(np.array(lengths, np.int64), capacity))
+    by_doc, by_seq = {}, {}
+    for d, s, n, q, o in zip(doc, start, length, seq, offset):
+        assert n > 0
+        by_doc.setdefault(d, []).append((s, n))
+        by_seq.setdefault(q, []).append((o, n))
+    for parts, total in [*((by_doc[d], n) for d, n in enumerate(lengths)), *((v, None) for v in by_seq.values())]:
+        at = 0
+        for s, n in sorted(parts):
+            assert s == at
+            at += n
+        assert at == total if total else at <= capacity and (at == capacity or at & (at - 1) == 0)
+    total = sum(lengths)
+    assert len(by_seq) <= total // capacity + capacity.bit_length()
+    return sum(len(v) for v in by_doc.values())
+
+
+@settings(max_examples=150, deadline=None)
+@given(st.lists(st.integers(1, 200), max_size=120), st.sampled_from([1, 2, 64, 128]))
+def test_places_are_gapless_and_unpadded(lengths, capacity):
+    check_places(lengths, capacity)
+
+
+def test_few_documents_are_cut():
+    rnd = np.random.default_rng(4)
+    for lengths in (np.minimum(rnd.lognormal(5.5, 1.2, 4000).astype(int) + 1, 4095), rnd.integers(1, 4096, 3000), np.full(700, 2049), rnd.integers(1, 40, 20_000)):
+        pieces = check_places(lengths.tolist(), 4096)
+        sequences = -(-int(lengths.sum()) // 4096)
+        assert pieces - len(lengths) <= 1.1 * sequences + 13
+    sizes = np.minimum(rnd.lognormal(5.5, 1.2, 4000).astype(int) + 1, 4095)
+    full = [int(sizes[s].sum()) == 4096 for s in H.pack_items(sizes)]
+    assert np.mean(full) > 0.5                  # most sequences need no cut at all
+
+
+def test_op12_query(spark, tmp_path):
+    rows = [*C.rows(), (None, "no id here", "en", "s", 10, "n", "b", "low", "t")]
+    _write(spark, tmp_path, rows)
+    got = H.op12_nnls_packing(spark, str(tmp_path))
+    assert H.padding(got).first().padding == 0
+    for packed, capacity in ((got, 4096), (H.pack(C.frame(spark).limit(0), PATH), 4096), (H.pack(spark.read.parquet(f"{tmp_path}/documents.parquet"), PATH, 256, 2, block_tokens=3000), 256)):
+        out = packed.collect()
+        if not out:
+            continue
+        want = {}
+        for d, t, *_ in rows:
+            want.setdefault(d, []).append([*C.library_ids(t, PATH), 2])
+        seen, seq = {}, {}
+        for r in out:
+            some = want[r.doc_id][0]                                  # repeated rows have equal texts here
+            assert r.doc_tokens == len(some) and r.ids_crc32 == zlib.crc32(np.array(some[r.start:r.start + r.length], "<u4").tobytes())
+            seen.setdefault(r.doc_id, []).append((r.start, r.length))
+            seq.setdefault(r.sequence_id, []).append((r.offset, r.length))
+        for d, copies in want.items():
+            cover = np.zeros(len(copies[0]), int)
+            for s, n in seen[d]:
+                cover[s:s + n] += 1
+            assert (cover == len(copies)).all(), d
+        for v in seq.values():
+            at = 0
+            for o, n in sorted(v):
+                assert o == at
+                at += n
+            assert at <= capacity
+
+
+def test_piece_table_grows_within_a_slice():
+    t = PieceTokenizer(PATH, kept=500, bits=6)
+    texts = [" ".join(f"u{k}x{j}" for k in range(3000)) for j in range(3)] + ["plain words", None]
+    got = [ids[a:b].tolist() for _, ids, bounds in t.slices(pa.array(texts, pa.string())) for a, b in zip(bounds, bounds[1:])]
+    assert got == [C.library_ids(x, PATH) for x in texts]
