@@ -291,6 +291,12 @@ v AS (SELECT unnest(string_split(rules, ',')) AS pr FROM expected WHERE rules <>
 SELECT split_part(pr, ':', 1) AS path, split_part(pr, ':', 2) AS rule, COUNT(*) AS n
 FROM v GROUP BY 1, 2"""
 
+ORACLE["s6_dead_letter"] = _with(*_MSG) + """,
+f AS (SELECT CASE WHEN cls = 16 THEN 'event_ts:typing' ELSE rules END AS rules, cls FROM expected)
+SELECT CASE WHEN cls = 12 THEN 'delivered' ELSE 'dead' END AS outcome, CASE WHEN cls = 12 THEN 3 ELSE 5 END AS attempts,
+  CASE WHEN cls = 12 THEN '' ELSE rules END AS rules, CAST(COUNT(*) AS BIGINT) AS messages
+FROM f WHERE rules <> '' GROUP BY 1, 2, 3"""
+
 ORACLE["c8_infer_extras"] = _with(*_MSG) + """
 SELECT 'extra_note' AS key, 'string' AS type, COUNT(*) AS n FROM expected WHERE cls = 12 HAVING COUNT(*) > 0"""
 

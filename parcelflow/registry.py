@@ -25,6 +25,7 @@ from .sources.bronze import read_cold
 from .sources.messages import bronze_to_messages
 from .functions.contracts import bronze_schema
 from .streaming import ingest as streaming
+from .streaming import redelivery
 from .operators.quality import Check, freshness, run_suite
 from .plans import kpi, suite
 from .sources import bronze as bronze_io
@@ -248,6 +249,29 @@ def r1_stream_ingest(spark, d):
     return spark.read.parquet(f"{base}/bronze").select(*BRONZE_COLUMNS)
 
 
+def s6_dead_letter(spark, d):
+    """Rejected messages delivered again by a second streaming query, run
+    five times from its checkpoint. Class 16 carries an ``event_ts`` that no
+    warehouse can type. The contract that allows ``extra_note`` is deployed
+    before the third delivery; what fails five times is set aside."""
+    configure(spark)
+    base = scratch_path(spark, "s6_redelivery")
+    m = bronze_to_messages(bronze_from_dir(spark, d))
+    untypable = F.regexp_replace("raw", '"event_ts":"[^"]*"', '"event_ts":"hello"')
+    m.select(F.when(F.col("cls") == 16, untypable).otherwise(F.col("raw")).alias("raw")).write.text(f"{base}/source")
+    q = streaming.start_ingest(streaming.read_event_stream(spark, f"{base}/source"), f"{base}/hot/bronze", f"{base}/hot/quarantine",
+                               f"{base}/_chk/hot", nack_path=f"{base}/nack")
+    streaming.drain(q)
+    start = 1_706_745_600
+    for seconds in (0, 10, 30, 70, 150):
+        redelivery.start_redelivery(spark, f"{base}/nack", f"{base}/again", f"{base}/_chk/again", now=F.timestamp_seconds(F.lit(start + seconds)),
+                                    also_allowed=["extra_note"] if seconds >= 30 else [], partitions=4).awaitTermination()
+    dead = redelivery.read_dead_letters(spark, f"{base}/again")
+    dead = dead.select(F.lit("dead").alias("outcome"), "attempts", F.array_join("reasons", ",").alias("rules"), "copies")
+    passed = redelivery.read_log(spark, f"{base}/again").where("outcome = 'delivered'").select("outcome", "attempts", F.lit("").alias("rules"), "copies")
+    return dead.unionByName(passed).groupBy("outcome", "attempts", "rules").agg(F.sum("copies").alias("messages"))
+
+
 def r3_stream_archive(spark, d):
     """The independent cold consumer of the same messages, read back
     from the archive layout."""
@@ -435,6 +459,7 @@ QUERIES: dict[str, Query] = {
     "c4_contract_validation": c4_contract_validation,
     "c1_conform_bronze": c1_conform_bronze,
     "s6_quarantine_by_rule": s6_quarantine_by_rule,
+    "s6_dead_letter": s6_dead_letter,
     "c8_infer_extras": c8_infer_extras,
     "c10_inject_context": c10_inject_context,
     "c11_repair_event_time": c11_repair_event_time,

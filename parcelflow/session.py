@@ -6,6 +6,7 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -50,6 +51,19 @@ def configure(spark: SparkSession) -> SparkSession:
     return spark
 
 
+@contextmanager
+def session_conf(spark: SparkSession, settings: dict):
+    """Session settings (None: left as it is) that hold inside the block only."""
+    before = {k: spark.conf.get(k, None) for k, v in settings.items() if v is not None}
+    try:
+        for k in before:
+            spark.conf.set(k, str(settings[k]))
+        yield
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The cluster-shared folder named by ``spark.checkpoint.dir``.
 

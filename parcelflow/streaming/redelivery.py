@@ -36,6 +36,7 @@ from pyspark.sql.streaming.stateful_processor import StatefulProcessor, Stateful
 
 from ..functions.contracts import BRONZE_COLUMNS, all_fields, layer_type
 from ..functions.validate import _typed, validate, with_variant
+from ..session import session_conf
 from ..sources.bronze import CLUSTER_COLS, PARTITION_COL
 from ..sources.tables import _fs
 
@@ -44,6 +45,7 @@ RETRY = "message_id string, raw string, due_ts timestamp"
 COUNTED = "message_id string, raw string, outcome string, attempts int, copies long, due_ts timestamp, reasons array<string>, batch_ts timestamp"
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 PROVIDER = "spark.sql.streaming.stateStore.providerClass"
+PARTITIONS = "spark.sql.shuffle.partitions"
 
 
 @dataclass(frozen=True)
@@ -136,9 +138,12 @@ def _write_outcomes(batch: DataFrame, batch_id: int, bronze_path: str, retry_pat
 
 
 def start_redelivery(spark: SparkSession, nack_path: str, base: str, checkpoint: str, policy: RetryPolicy = RetryPolicy(),
-                     now: Column | None = None, also_allowed=(), available_now: bool = True, processing_time: str = "10 seconds"):
+                     now: Column | None = None, also_allowed=(), available_now: bool = True, processing_time: str = "10 seconds", partitions: int | None = None):
     """Start the redelivery query; returns the StreamingQuery.
 
+    ``partitions`` is the number of state partitions, fixed by the first run
+    (the session's shuffle partitions by default; failing messages are few).
+
     Below ``base``: ``bronze`` (messages that passed, typed), ``retry`` (read
     again by this query), ``dead`` and ``log`` (every outcome). With
     ``available_now`` a run makes one delivery of every message that is due.
@@ -152,12 +157,9 @@ def start_redelivery(spark: SparkSession, nack_path: str, base: str, checkpoint:
     w = (out.writeStream.option("checkpointLocation", checkpoint).outputMode("append")
          .foreachBatch(lambda b, i: _write_outcomes(b, i, bronze, retry, dead, log)))
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime=processing_time)
-    before = spark.conf.get(PROVIDER, None)
-    spark.conf.set(PROVIDER, ROCKSDB)          # read when the query starts; the only store that takes this operator
-    try:
+    # Read when the query starts. RocksDB is the only store that takes this operator.
+    with session_conf(spark, {PROVIDER: ROCKSDB, PARTITIONS: partitions}):
         return w.start()
-    finally:
-        spark.conf.set(PROVIDER, before) if before else spark.conf.unset(PROVIDER)
 
 
 def read_dead_letters(spark: SparkSession, base: str) -> DataFrame:
