@@ -350,6 +350,42 @@ ORACLE["r6_stream_silver"] = _with(
   FROM d2) t WHERE rn2 = 1)""",
 ) + f"\nSELECT {_cols()} FROM merged"
 
+ORACLE["r4_ordered"] = _with(f"bronze AS ({BRONZE_SQL})") + """,
+once AS (SELECT DISTINCT parcel_id, sequence_no, event_id FROM bronze
+  WHERE NOT (sequence_no = 5 AND CAST(regexp_extract(parcel_id, '(\\d+)$', 1) AS BIGINT) % 3 = 0))
+SELECT parcel_id, ROW_NUMBER() OVER (PARTITION BY parcel_id ORDER BY sequence_no) - 1 AS position, sequence_no, event_id FROM once"""
+
+ORACLE["c7_evolve"] = _with(f"bronze AS ({BRONZE_SQL})", f"""b AS (
+  SELECT event_id, parcel_id, event_type, event_ts, sequence_no, CAST(event_ts AS DATE) AS event_date,
+    CAST(regexp_extract(event_id, '(\\d+)$', 1) AS BIGINT) AS n FROM bronze)""",
+    "later AS (SELECT * FROM b WHERE event_date >= DATE '2024-01-16' OR dayofmonth(event_date) IN (3, 9))",
+    f"""merged AS (
+  SELECT *, 1 AS turn FROM b WHERE event_date < DATE '2024-01-16'
+  UNION ALL SELECT *, 2 FROM later WHERE n % 11 <> 0)""",
+    f"newest AS (SELECT *, ROW_NUMBER() OVER (PARTITION BY event_id ORDER BY turn DESC, {NEWEST}) AS k FROM merged)") + """
+SELECT event_id, event_type, event_date, sequence_no, CASE WHEN turn = 2 THEN concat('k', n % 5) END AS carrier,
+  CASE WHEN turn = 2 THEN n * 3 END AS handling_ms, false AS refused FROM newest WHERE k = 1
+UNION ALL SELECT event_id, event_type, event_date, NULL, concat('k', n % 5), n * 3, true FROM later WHERE n % 11 = 0"""
+
+_HISTORY = (f"bronze AS ({BRONZE_SQL})",
+    *[f"s{k} AS (SELECT parcel_id, max(sequence_no) AS last_no, max(event_ts) AS last_seen_ts FROM bronze WHERE {where} GROUP BY parcel_id)"
+      for k, where in enumerate(("dayofmonth(event_ts) <= 10", "dayofmonth(event_ts) BETWEEN 11 AND 20", "dayofmonth(event_ts) <= 10 OR dayofmonth(event_ts) > 20"), 1)],
+    # Every parcel's state (or none) after each run; a version lasts while the state stays.
+    """v AS (SELECT p.parcel_id, r.k, r.t, s.last_no, s.last_seen_ts, s.parcel_id IS NOT NULL AS there
+  FROM (SELECT DISTINCT parcel_id FROM bronze) p
+  CROSS JOIN (VALUES (1, TIMESTAMP '2024-02-01'), (2, TIMESTAMP '2024-02-02'), (3, TIMESTAMP '2024-02-03')) r(k, t)
+  LEFT JOIN (SELECT 1 AS k, * FROM s1 UNION ALL SELECT 2, * FROM s2 UNION ALL SELECT 3, * FROM s3) s
+    ON s.k = r.k AND s.parcel_id = p.parcel_id)""",
+    """w AS (SELECT *, LAG(there, 1, false) OVER o AS was, LAG(last_no) OVER o AS was_no,
+  COALESCE(BOOL_OR(there) OVER (PARTITION BY parcel_id ORDER BY k ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), false) AS before
+  FROM v WINDOW o AS (PARTITION BY parcel_id ORDER BY k))""",
+    """c AS (SELECT *, CASE WHEN there AND NOT was THEN CASE WHEN before THEN 'returned' ELSE 'new' END
+  WHEN was AND NOT there THEN 'deleted' WHEN there AND last_no IS DISTINCT FROM was_no THEN 'changed' END AS change FROM w)""")
+ORACLE["j5_change_feed"] = _with(*_HISTORY) + "\nSELECT parcel_id, change, t AS run_ts FROM c WHERE change IS NOT NULL"
+ORACLE["d2_delete_return"] = _with(*_HISTORY, """e AS (
+  SELECT *, LEAD(t) OVER (PARTITION BY parcel_id ORDER BY k) AS ends FROM c WHERE change IS NOT NULL)""") + """
+SELECT parcel_id, last_no, last_seen_ts, t AS dbt_valid_from, ends AS dbt_valid_to FROM e WHERE change <> 'deleted'"""
+
 ORACLE["r7_stream_dedup"] = _with(f"bronze AS ({BRONZE_SQL})") + """
 SELECT DISTINCT event_id, parcel_id, event_type FROM bronze"""
 

@@ -25,10 +25,11 @@ from .sources.bronze import read_cold
 from .sources.messages import bronze_to_messages
 from .functions.contracts import bronze_schema
 from .streaming import ingest as streaming
-from .streaming import redelivery
+from .streaming import redelivery, reorder
 from .operators.quality import Check, freshness, run_suite
 from .plans import kpi, suite
 from .sources import bronze as bronze_io
+from .sources import history, schema_log
 from .sources.fixtures import read_table
 from .session import shared_dir
 
@@ -319,6 +320,79 @@ def r7_stream_dedup(spark, d):
     return spark.read.parquet(f"{base}/dedup").select("event_id", "parcel_id", "event_type")
 
 
+def r4_ordered(spark, d):
+    """Events arrive up to six days late, out of order and twice, in weekly
+    batches, and every third parcel lacks its sixth event; the reorder buffer
+    gives each event once, in order, with its position in the parcel."""
+    configure(spark)
+    base = scratch_path(spark, "r4_ordered")
+    b = bronze_from_dir(spark, d).select("parcel_id", "sequence_no", "event_id", "event_type", "event_ts")
+    pid = F.regexp_extract("parcel_id", r"(\d+)$", 1).cast("long")
+    b = b.where(~((F.col("sequence_no") == 5) & (pid % 3 == 0)))
+    late = F.timestamp_add("DAY", F.pmod(F.crc32(F.col("event_id").cast("binary")), F.lit(7)).cast("int"), F.col("event_ts"))
+    b = b.withColumn("_batch", F.floor(F.datediff(late, F.lit("2024-01-01").cast("date")) / 7))
+    b.write.partitionBy("_batch").parquet(f"{base}/arrivals")
+    rows = spark.read.parquet(f"{base}/arrivals")
+    for n in sorted(r[0] for r in rows.select("_batch").distinct().collect()):      # weeks of the calendar
+        rows.where(F.col("_batch") == n).drop("_batch").write.mode("append").parquet(f"{base}/source")
+        last = rows.where(F.col("_batch") == n)
+    # A clock's tick long after the last event lets the watermark close what is left.
+    tick = rows.agg(F.lit("clock").alias("parcel_id"), F.lit(0).cast("long").alias("sequence_no"), F.lit("c0").alias("event_id"), F.lit("TICK").alias("event_type"),
+                    F.timestamp_add("DAY", F.lit(60), F.max("event_ts")).alias("event_ts"))
+    tick.write.mode("append").parquet(f"{base}/source")
+    stream = spark.readStream.schema(last.drop("_batch").schema).option("maxFilesPerTrigger", 4).parquet(f"{base}/source")
+    reorder.start_ordered(spark, stream, f"{base}/ordered", f"{base}/_chk", "14 days", partitions=4).awaitTermination()
+    return spark.read.parquet(f"{base}/ordered").where("parcel_id <> 'clock'").select("parcel_id", "position", "sequence_no", "event_id")
+
+
+# -- schemas and history that grow ------------------------------------------------
+
+def c7_evolve(spark, d):
+    """The second half of the month brings two new fields and sequence
+    numbers as text, some of them no numbers; merged by event_id into the table
+    of the first half. Refused rows are told by ``refused``."""
+    configure(spark)
+    base = scratch_path(spark, "c7_evolve")
+    b = bronze_from_dir(spark, d).select("event_id", "parcel_id", "event_type", "event_ts", "sequence_no").withColumn("event_date", F.to_date("event_ts"))
+    n = F.regexp_extract("event_id", r"(\d+)$", 1).cast("long")
+    cut = F.lit("2024-01-16").cast("date")
+    schema_log.upsert_evolving(spark, f"{base}/events", b.where(F.col("event_date") < cut), ["event_id"], f"{base}/refused")
+    # Two days of the first half come again, changed, so that old files are merged too.
+    later = b.where((F.col("event_date") >= cut) | (F.dayofmonth("event_date").isin(3, 9)))
+    later = (later.withColumn("carrier", F.concat(F.lit("k"), (n % 5).cast("string"))).withColumn("handling_ms", n * 3)
+             .withColumn("sequence_no", F.when(n % 11 == 0, F.lit("n/a")).otherwise(F.col("sequence_no").cast("string"))))
+    schema_log.upsert_evolving(spark, f"{base}/events", later, ["event_id"], f"{base}/refused")
+    good = schema_log.read_evolved(spark, f"{base}/events").withColumn("refused", F.lit(False))
+    bad = spark.read.parquet(f"{base}/refused").select(F.from_json("row", "event_id string, event_type string, event_date date, carrier string, handling_ms long").alias("r"))
+    bad = bad.select("r.*", F.lit(None).cast("long").alias("sequence_no"), F.lit(True).alias("refused"))
+    cols = ["event_id", "event_type", "event_date", "sequence_no", "carrier", "handling_ms", "refused"]
+    return good.select(*cols).unionByName(bad.select(*cols))
+
+
+# Three runs of a stored history: parcels of the first third of the month, of the second, and of the first and last.
+HISTORY_RUNS = [("2024-02-01 00:00:00", "day <= 10"), ("2024-02-02 00:00:00", "day between 11 and 20"), ("2024-02-03 00:00:00", "day <= 10 or day > 20")]
+
+
+def _parcel_history(spark, d, name):
+    configure(spark)
+    path = scratch_path(spark, name)
+    b = bronze_from_dir(spark, d).withColumn("day", F.dayofmonth("event_ts"))
+    for run_ts, days in HISTORY_RUNS:
+        state = b.where(days).groupBy("parcel_id").agg(F.max("sequence_no").alias("last_no"), F.max("event_ts").alias("last_seen_ts"))
+        history.run_snapshot(spark, path, state, "parcel_id", ["last_no"], run_ts)
+    return path
+
+
+def d2_delete_return(spark, d):
+    """A stored history over three runs; parcels leave and return."""
+    return history.read_history(spark, _parcel_history(spark, d, "d2_history"))
+
+
+def j5_change_feed(spark, d):
+    """What each of the three runs found new, returned, changed or deleted."""
+    return history.read_changes(spark, _parcel_history(spark, d, "j5_history"))
+
+
 # -- data tests -----------------------------------------------------------------
 
 def e8_reference_suite(spark, d):
@@ -461,10 +535,14 @@ QUERIES: dict[str, Query] = {
     "s6_quarantine_by_rule": s6_quarantine_by_rule,
     "s6_dead_letter": s6_dead_letter,
     "c8_infer_extras": c8_infer_extras,
+    "c7_evolve": c7_evolve,
+    "d2_delete_return": d2_delete_return,
+    "j5_change_feed": j5_change_feed,
     "c10_inject_context": c10_inject_context,
     "c11_repair_event_time": c11_repair_event_time,
     "r1_stream_ingest_bronze": r1_stream_ingest,
     "r3_stream_archive_cold": r3_stream_archive,
+    "r4_ordered": r4_ordered,
     "r6_stream_silver": r6_stream_silver,
     "r7_stream_dedup": r7_stream_dedup,
     "e8_reference_suite": e8_reference_suite,

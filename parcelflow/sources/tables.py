@@ -98,7 +98,7 @@ def read_table(spark: SparkSession, path: str) -> DataFrame | None:
 
 def upsert(spark: SparkSession, path: str, updates: DataFrame, keys, partition_col: str = "event_date",
            order=("event_ts", "sequence_no", "event_id"), cluster_by=None,
-           search_days: int | None = None) -> dict:
+           search_days: int | None = None, schema=None) -> dict:
     """Merge ``updates`` into the Parquet table at ``path`` by ``keys``
     (matched rows replaced, others inserted). Returns counts.
 
@@ -111,6 +111,8 @@ def upsert(spark: SparkSession, path: str, updates: DataFrame, keys, partition_c
     every day is searched, which is exact. ``search_days=n`` restricts the
     search to ``n`` days around the updates' days: a bounded cost for tables
     whose keys cannot move further than that (e.g. redelivered copies).
+    ``schema`` gives the table's columns where its files have not all of them
+    (:mod:`parcelflow.sources.schema_log`).
     """
     keys = [keys] if isinstance(keys, str) else list(keys)
     null_key = None
@@ -120,14 +122,14 @@ def upsert(spark: SparkSession, path: str, updates: DataFrame, keys, partition_c
     recover(spark, path)
     work = f"{path.rstrip('/')}__work-{uuid.uuid4().hex[:12]}"
     try:
-        return _upsert(spark, path, work, updates, keys, partition_col, order, cluster_by, search_days, null_key)
+        return _upsert(spark, path, work, updates, keys, partition_col, order, cluster_by, search_days, null_key, schema)
     finally:
         fs, _, jvm = _fs(spark, path)
         if not fs.exists(jvm.org.apache.hadoop.fs.Path(_journal(path))):
             fs.delete(jvm.org.apache.hadoop.fs.Path(work), True)
 
 
-def _upsert(spark, path, work, updates, keys, partition_col, order, cluster_by, search_days, null_key) -> dict:
+def _upsert(spark, path, work, updates, keys, partition_col, order, cluster_by, search_days, null_key, schema=None) -> dict:
     once = dedup_latest(updates, keys, [c for c in order if c in updates.columns] or keys)
     # Written once: the steps below read the batch and don't evaluate it again.
     once.write.parquet(f"{work}/updates")
@@ -139,6 +141,8 @@ def _upsert(spark, path, work, updates, keys, partition_col, order, cluster_by,
         raise ValueError(f"upsert: NULL in merge key {keys}")
     n_updates = sum(r["n"] for r in stats)
     target = read_table(spark, path)
+    if target is not None and schema is not None:
+        target = spark.read.schema(schema).parquet(path).select(*schema.names)
     if target is None:
         if n_updates:
             materialize(upd, path, partition_col, cluster_by, mode="overwrite")
