@@ -10,9 +10,9 @@ usual data-test semantics:
 * ``accepted_values`` - distinct non-NULL values outside the list;
 * ``relationships`` - non-NULL child values with no parent row.
 
-Cost: all ``not_null`` and ``accepted_values`` tests of one table share one
-aggregation pass (a single ``agg`` with one counter per test);
-``unique`` and ``relationships`` are one keyed aggregate / anti join each.
+Cost: the suite is compiled into one plan (:func:`suite_counts`): every table
+is read once, whatever the number of its tests, and there is one shuffle of
+(test, value) counts.
 A test naming a column the table does not have reports ``error`` (T9),
 distinct from ``fail``; ``severity='warn'`` reports ``warn`` instead of
 ``fail``.
@@ -117,54 +117,88 @@ def _missing_columns(expr: str, df: DataFrame) -> list[str]:
     return []
 
 
+NUMBERS = ("tinyint", "smallint", "int", "bigint", "float", "double", "decimal")
+
+
+def _key(expr: str, kind: str | None = None) -> str:
+    """A value as text; numbers of two types in one form."""
+    return f"cast(cast({expr} as {kind}) as string)" if kind else f"cast({expr} as string)"
+
+
+def _compile(tables: dict[str, DataFrame], checks) -> tuple[dict[str, list[str]], dict[int, tuple]]:
+    """(tags, failed): for each table the SQL of what a row says about each
+    check - a struct(check, value, child, parent), or null - and the checks
+    that can't run, with their message."""
+    tags: dict[str, list[str]] = {}
+    failed: dict[int, tuple] = {}
+    types = {m: dict(df.dtypes) for m, df in tables.items() if df is not None}
+
+    def tag(model, k, cond, value, child, parent=0):
+        tags.setdefault(model, []).append(f"case when {cond} then struct({k} as check, {value} as value, {child}L as child, {parent}L as parent) end")
+
+    for k, c in enumerate(checks):
+        if c.model not in types:
+            failed[k] = (None, f"missing model {c.model}")
+        elif c.kind == "unique":
+            missing = _missing_columns(c.column, tables[c.model])
+            if missing:
+                failed[k] = (None, f"missing column {missing[0]}")
+            else:
+                tag(c.model, k, f"({c.column}) is not null", _key(f"({c.column})"), 1)
+        elif c.column not in types[c.model]:
+            failed[k] = (None, f"missing column {c.column}")
+        elif c.kind == "not_null":
+            tag(c.model, k, f"`{c.column}` is null", "cast(null as string)", 1)
+        elif c.kind == "accepted_values":
+            allowed = ", ".join("'" + str(v).replace("\\", "\\\\").replace("'", "\\'") + "'" if isinstance(v, str) else repr(v) for v in c.values)
+            tag(c.model, k, f"`{c.column}` is not null and `{c.column}` not in ({allowed})" if allowed else f"`{c.column}` is not null", _key(f"`{c.column}`"), 1)
+        elif c.kind == "relationships":
+            field = c.field or c.column
+            if c.to not in types or field not in types[c.to]:
+                failed[k] = (None, f"missing parent {c.to}.{field}")
+                continue
+            one, other = types[c.model][c.column], types[c.to][field]
+            wide = "decimal(38,10)" if one != other and one.startswith(NUMBERS) and other.startswith(NUMBERS) else None
+            tag(c.model, k, f"`{c.column}` is not null", _key(f"`{c.column}`", wide), 1)
+            tag(c.to, k, f"`{field}` is not null", _key(f"`{field}`", wide), 0, 1)
+        else:
+            raise ValueError(f"unknown kind of test {c.kind}")
+    return tags, failed
+
+
+def suite_counts(tables: dict[str, DataFrame], checks) -> DataFrame | None:
+    """(check, n): failures of the checks, numbered as they come, that have any.
+
+    One plan for the whole suite: each table is read once, and each row says
+    what it has for all its tests at once - a null, a value of a unique key, a
+    value outside its list, a child's or a parent's key. These are counted per
+    (check, value) before and after one shuffle, so a value that fills the table
+    is one row per task, and then per check."""
+    tags, _ = _compile(tables, checks)
+    said = None
+    for model, cases in tags.items():
+        d = tables[model].select(F.expr(f"inline(filter(array({', '.join(cases)}), t -> t is not null))"))
+        said = d if said is None else said.unionByName(d)
+    if said is None:
+        return None
+    kind = {k: c.kind for k, c in enumerate(checks)}
+    by = said.groupBy("check", "value").agg(F.sum("child").alias("child"), F.sum("parent").alias("parent"))
+    of = lambda name: F.col("check").isin([k for k, v in kind.items() if v == name])
+    n = (F.when(of("not_null"), F.col("child")).when(of("unique"), (F.col("child") > 1).cast("long")).when(of("accepted_values"), F.lit(1).cast("long"))
+         .otherwise(F.when(F.col("parent") == 0, F.col("child")).otherwise(0)))
+    return by.groupBy("check").agg(F.sum(n).alias("n"))
+
+
 def run_suite(spark: SparkSession, tables: dict[str, DataFrame], checks) -> DataFrame:
-    """Run ``checks`` over ``tables`` and return one result row per
-    check. Counters are scalars, so only one small row per test reaches the
-    driver."""
-    results = {}
-    by_model: dict[str, list[Check]] = {}
-    for c in checks:
-        by_model.setdefault(c.model, []).append(c)
-    for model, cs in by_model.items():
-        df = tables.get(model)
-        if df is None:
-            for c in cs:
-                results[c] = (None, f"missing model {model}")
-            continue
-        cols = set(df.columns)
-        counters, pending = [], []
-        for i, c in enumerate(cs):
-            if c.kind in ("not_null", "accepted_values"):
-                if c.column not in cols:
-                    results[c] = (None, f"missing column {c.column}")
-                    continue
-                if c.kind == "not_null":
-                    counters.append(F.count_if(F.col(c.column).isNull()).alias(f"c{i}"))
-                else:
-                    bad = F.col(c.column).isNotNull() & ~F.col(c.column).isin(list(c.values))
-                    counters.append(F.count_distinct(F.when(bad, F.col(c.column))).alias(f"c{i}"))
-                pending.append((i, c))
-            elif c.kind == "unique":
-                missing = _missing_columns(c.column, df)
-                if missing:
-                    results[c] = (None, f"missing column {missing[0]}")
-                    continue
-                results[c] = (unique(df, c.column).count(), None)
-            elif c.kind == "relationships":
-                parent = tables.get(c.to)
-                field = c.field or c.column
-                if c.column not in cols:
-                    results[c] = (None, f"missing column {c.column}")
-                elif parent is None or field not in parent.columns:
-                    results[c] = (None, f"missing parent {c.to}.{field}")
-                else:
-                    results[c] = (relationships(df, c.column, parent, field).count(), None)
-        if counters:
-            row = df.agg(*counters).first()
-            for i, c in pending:
-                results[c] = (int(row[f"c{i}"]), None)
+    """Run ``checks`` over ``tables`` and return one result row per check,
+    by one job over all of them (:func:`suite_counts`); one small row per test
+    reaches the driver."""
+    checks = list(checks)
+    _, failed = _compile(tables, checks)
+    counts = suite_counts(tables, checks)
+    found = {r["check"]: int(r["n"]) for r in counts.collect()} if counts is not None else {}
     rows = []
-    for c in checks:
-        n, msg = results[c]
+    for k, c in enumerate(checks):
+        n, msg = failed.get(k, (found.get(k, 0), None))
         rows.append((c.name, c.model, c.kind, c.column, c.severity, n, _status(n, c.severity), msg))
     return spark.createDataFrame(rows, RESULT_SCHEMA)

@@ -334,6 +334,10 @@ ORACLE["r1_stream_ingest_bronze"] = _with(*_MSG) + "\nSELECT " + ", ".join(
 
 ORACLE["r3_stream_archive_cold"] = ORACLE["r1_stream_ingest_bronze"]
 
+ORACLE["c12_ingest_counts"] = _with(*_MSG) + """
+SELECT consumer, CAST(count_if(rules = '') AS BIGINT) AS accepted, CAST(count_if(rules <> '') AS BIGINT) AS rejected,
+  CAST(4 AS BIGINT) AS batches FROM expected, (VALUES ('hot'), ('cold')) c(consumer) GROUP BY consumer"""
+
 # One micro-batch per week of January: W1/W2 inside each batch, then merged
 # by event_id with the later batch winning. No row is below the high-water
 # mark, as batches arrive in time order.

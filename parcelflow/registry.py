@@ -284,6 +284,21 @@ def r3_stream_archive(spark, d):
     return read_cold(spark, f"{base}/archive").select(*BRONZE_COLUMNS)
 
 
+def c12_ingest_counts(spark, d):
+    """Messages accepted and rejected by the hot and the cold consumer
+    of one source, the hot one stopped after two files and then run to its end."""
+    configure(spark)
+    base = scratch_path(spark, "c12_counts")
+    src = _message_files(spark, d, base)
+    read = lambda: streaming.read_event_stream(spark, src, max_files_per_trigger=1)
+    for limit in (1, None):
+        streaming.drain(streaming.start_ingest(read(), f"{base}/bronze", f"{base}/quarantine", f"{base}/_chk/hot"), max_messages=limit)
+    streaming.drain(streaming.start_archive(read(), f"{base}/archive", f"{base}/_chk/cold"))
+    each = [streaming.ingest_counts(spark, p).agg(F.lit(name).alias("consumer"), F.sum("accepted").alias("accepted"), F.sum("rejected").alias("rejected"), F.count("*").alias("batches"))
+            for name, p in (("hot", f"{base}/quarantine"), ("cold", f"{base}/archive"))]
+    return each[0].unionByName(each[1])
+
+
 def _week_files(spark, d, base) -> str:
     """Bronze rows written as one file per week of January, in time order,
     so a file source with maxFilesPerTrigger=1 replays them week by week."""
@@ -542,6 +557,7 @@ QUERIES: dict[str, Query] = {
     "c11_repair_event_time": c11_repair_event_time,
     "r1_stream_ingest_bronze": r1_stream_ingest,
     "r3_stream_archive_cold": r3_stream_archive,
+    "c12_ingest_counts": c12_ingest_counts,
     "r4_ordered": r4_ordered,
     "r6_stream_silver": r6_stream_silver,
     "r7_stream_dedup": r7_stream_dedup,

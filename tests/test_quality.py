@@ -53,3 +53,26 @@ def test_p95_matches_discrete_quantile(spark, n):
 def test_p95_all_null_group(spark):
     df = spark.createDataFrame([(None,), (None,)], "x long")
     assert df.agg(p95("x").alias("p")).first().p is None
+
+
+def test_suite_is_one_plan(spark):
+    """All tests of all tables: as many stages as tables and the shuffles of one aggregate, not one job per test."""
+    import uuid
+
+    from parcelflow.operators.quality import Check, run_suite
+
+    a = spark.createDataFrame([(1, "x", 1.0), (1, "y", None), (2, None, 2.5), (None, "z'", 9.0)], "k int, v string, d double")
+    b = spark.createDataFrame([(1, 7), (3, 7)], "k long, w int")
+    checks = [Check("a", "not_null", "k"), Check("a", "unique", "k"), Check("a", "unique", "concat(k, v)"), Check("a", "accepted_values", "v", ("x", "z'")),
+              Check("a", "relationships", "k", to="b"), Check("b", "relationships", "k", to="a", severity="warn"), Check("b", "unique", "w"), Check("a", "not_null", "d"),
+              Check("a", "accepted_values", "k", (1, 2)), Check("a", "relationships", "d", to="b", field="k"), Check("a", "not_null", "no"), Check("c", "unique", "k"),
+              Check("a", "relationships", "k", to="c")]
+    group = uuid.uuid4().hex
+    spark.sparkContext.setJobGroup(group, "suite")
+    try:
+        got = [(r.failures, r.status) for r in run_suite(spark, {"a": a, "b": b}, checks).collect()]
+        jobs = len(spark.sparkContext.statusTracker().getJobIdsForGroup(group))
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert got == [(1, "fail"), (1, "fail"), (0, "pass"), (1, "fail"), (1, "fail"), (1, "warn"), (1, "fail"), (1, "fail"), (0, "pass"), (2, "fail"), (None, "error"), (None, "error"), (None, "error")]
+    assert jobs <= 5                           # the stages of one adaptive plan, and the result's own

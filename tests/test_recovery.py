@@ -125,3 +125,18 @@ def test_freshness_prunes_days(spark, tmp_path):
     _events(spark, range(3), 1, 1).write.partitionBy("event_date").parquet(f"{tmp_path}/b")
     df = freshness(spark.read.parquet(f"{tmp_path}/b"), "event_ts", dt.datetime(2024, 1, 2))
     assert "event_date" in df._jdf.queryExecution().executedPlan().toString().split("PartitionFilters: ")[1].split("]")[0]
+
+
+def test_many_batches_are_all_counted_and_limits_stop_the_query(spark, tmp_path):
+    src = tmp_path / "src"
+    src.mkdir()
+    for k in range(150):
+        (src / f"{k:03d}.txt").write_text("x\n")
+    rate = lambda chk: (spark.readStream.format("text").option("maxFilesPerTrigger", 1).load(str(src)).withColumn("is_valid", (F := __import__("pyspark.sql.functions", fromlist=["x"])).lit(False))
+                        .observe("ingest_metrics", F.count_if("is_valid").alias("accepted"), F.count_if(~F.col("is_valid")).alias("rejected"))
+                        .writeStream.format("noop").option("checkpointLocation", f"{tmp_path}/{chk}").trigger(availableNow=True).start())
+    q = rate("a")
+    assert S.drain(q, max_messages=5)["nacked"] < 150 and not q.isActive           # stopped, not left running
+    q = rate("b")
+    assert S.drain(q, timeout_seconds=0.5)["nacked"] < 150 and not q.isActive
+    assert S.drain(rate("c")) == {"acked": 0, "nacked": 150, "batches": 150}
