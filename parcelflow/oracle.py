@@ -354,6 +354,10 @@ ORACLE["r6_stream_silver"] = _with(
   FROM d2) t WHERE rn2 = 1)""",
 ) + f"\nSELECT {_cols()} FROM merged"
 
+# Late rows in any order come to the full refresh.
+ORACLE["r6_late_rows"] = ORACLE["q01_silver_parcel_events"]
+ORACLE["t5_late_depot_dwell"] = ORACLE["q17_vw_depot_dwell_p95"]
+
 ORACLE["r4_ordered"] = _with(f"bronze AS ({BRONZE_SQL})") + """,
 once AS (SELECT DISTINCT parcel_id, sequence_no, event_id FROM bronze
   WHERE NOT (sequence_no = 5 AND CAST(regexp_extract(parcel_id, '(\\d+)$', 1) AS BIGINT) % 3 = 0))

@@ -54,6 +54,12 @@ class Incremental:
         return df.filter(cond)
 
 
+def typed_columns(bronze: DataFrame) -> DataFrame:
+    """silver's columns, timestamps cast, with ``event_date``."""
+    cols = [F.col(c).cast("timestamp").alias(c) if c in TS_COLUMNS else F.col(c) for c in BRONZE_COLUMNS]
+    return bronze.select(*cols, event_date(F.col("event_ts").cast("timestamp")).alias("event_date"))
+
+
 def typed_source(bronze: DataFrame, as_of=DEFAULT_AS_OF, days: int = 7,
                  incremental: Incremental | None = None) -> DataFrame:
     """Cast timestamps, derive ``event_date``, keep the lookback
@@ -62,10 +68,7 @@ def typed_source(bronze: DataFrame, as_of=DEFAULT_AS_OF, days: int = 7,
         # Bronze stored by day: filter the partition column itself so the
         # scan prunes directories (a predicate on DATE(event_ts) would not).
         bronze = bronze.filter(lookback("event_date", as_of, days))
-    cols = [F.col(c).cast("timestamp").alias(c) if c in TS_COLUMNS else F.col(c)
-            for c in BRONZE_COLUMNS]
-    df = bronze.select(*cols, event_date(F.col("event_ts").cast("timestamp")).alias("event_date"))
-    df = df.filter(lookback("event_date", as_of, days))
+    df = typed_columns(bronze).filter(lookback("event_date", as_of, days))
     return incremental.apply(df) if incremental is not None else df
 
 

@@ -92,7 +92,8 @@ def materialize(df: DataFrame, path: str, partition_by=None, cluster_by=None,
 
 
 def read_table(spark: SparkSession, path: str) -> DataFrame | None:
-    recover(spark, path)
+    """The table, or None where there is none. Reading changes nothing: a swap
+    that stopped half-way is carried to its end by the next writer."""
     return spark.read.parquet(path) if _is_table(spark, path) else None
 
 
@@ -124,9 +125,7 @@ def upsert(spark: SparkSession, path: str, updates: DataFrame, keys, partition_c
     try:
         return _upsert(spark, path, work, updates, keys, partition_col, order, cluster_by, search_days, null_key, schema)
     finally:
-        fs, _, jvm = _fs(spark, path)
-        if not fs.exists(jvm.org.apache.hadoop.fs.Path(_journal(path))):
-            fs.delete(jvm.org.apache.hadoop.fs.Path(work), True)
+        _clear(spark, path, work)
 
 
 def _upsert(spark, path, work, updates, keys, partition_col, order, cluster_by, search_days, null_key, schema=None) -> dict:
@@ -175,6 +174,59 @@ def _upsert(spark, path, work, updates, keys, partition_col, order, cluster_by,
     return {"inserted_or_updated": n_updates, "partitions": len(touched)}
 
 
+def replace_groups(spark: SparkSession, path: str, dirty: DataFrame, rows: DataFrame, key: str, partition_col: str = "event_date", cluster_by=None) -> list:
+    """Replace all rows of the groups in ``dirty`` (one column, ``key``) by
+    ``rows``; returns the days touched. Only days that hold or get a row of such
+    a group are rewritten, with the same journalled swap as :func:`upsert`."""
+    recover(spark, path)
+    work = f"{path.rstrip('/')}__work-{uuid.uuid4().hex[:12]}"
+    try:
+        rows.write.parquet(f"{work}/rows")
+        rows = spark.read.schema(rows.schema).parquet(f"{work}/rows")
+        days = {r[0] for r in rows.select(partition_col).distinct().collect()}             # bounded by the calendar
+        target = read_table(spark, path)
+        if target is None:
+            if days:
+                materialize(rows, path, partition_col, cluster_by)
+            return sorted(days, key=str)
+        old = target.select(key, partition_col).join(dirty, key, "left_semi").select(partition_col).distinct().collect()
+        days |= {r[0] for r in old}
+        if days:
+            _replace_days(spark, path, work, target, days, target.join(dirty, key, "left_anti"), rows, partition_col, cluster_by)
+        return sorted(days, key=str)
+    finally:
+        _clear(spark, path, work)
+
+
+def replace_days(spark: SparkSession, path: str, days, rows: DataFrame, partition_col: str = "event_date", cluster_by=None) -> None:
+    """Replace the given days of a table by ``rows`` (of these days only)."""
+    recover(spark, path)
+    work = f"{path.rstrip('/')}__work-{uuid.uuid4().hex[:12]}"
+    try:
+        if _is_table(spark, path):
+            _replace_days(spark, path, work, None, set(days), None, rows, partition_col, cluster_by)
+        else:
+            materialize(rows, path, partition_col, cluster_by)
+    finally:
+        _clear(spark, path, work)
+
+
+def _replace_days(spark, path, work, target, days, kept, rows, partition_col, cluster_by) -> None:
+    if kept is not None:
+        cond = F.col(partition_col).isin([d for d in days if d is not None])
+        if None in days:
+            cond = cond | F.col(partition_col).isNull()
+        rows = kept.filter(cond).unionByName(rows.select(*target.columns))
+    materialize(rows, f"{work}/new", partition_col, cluster_by)
+    _swap(spark, work, path, partition_col, sorted(days, key=lambda d: (d is None, str(d))))
+
+
+def _clear(spark, path, work) -> None:
+    fs, _, jvm = _fs(spark, path)
+    if not fs.exists(jvm.org.apache.hadoop.fs.Path(_journal(path))):
+        fs.delete(jvm.org.apache.hadoop.fs.Path(work), True)
+
+
 def _part_dir(partition_col: str, value) -> str:
     return f"{partition_col}={'__HIVE_DEFAULT_PARTITION__' if value is None else value}"
 
