@@ -300,6 +300,13 @@ FROM f WHERE rules <> '' GROUP BY 1, 2, 3"""
 ORACLE["c8_infer_extras"] = _with(*_MSG) + """
 SELECT 'extra_note' AS key, 'string' AS type, COUNT(*) AS n FROM expected WHERE cls = 12 HAVING COUNT(*) > 0"""
 
+_EXTRA_TYPES = {"x_flag": "boolean", "x_int": "bigint", "x_float": "number", "x_seen_ts": "timestamp", "x_text": "string", "x_number": "number", "x_any": "string", "x_maybe": "bigint",
+                "x_none": "string", "x_list": "string", "x_late_ts": "string", "x_rare": "boolean"}
+ORACLE["c8_extra_kinds"] = _with(f"bronze AS ({BRONZE_SQL})", """c AS (SELECT CAST(COUNT(*) AS BIGINT) AS all_n,
+  CAST(count_if(CAST(regexp_extract(event_id, '(\\d+)$', 1) AS BIGINT) % 7 = 0) AS BIGINT) AS rare_n FROM bronze)""") + "\nUNION ALL\n".join(
+    "\nSELECT '{}' AS layer, '{}' AS key, '{}' AS type, {} AS n FROM c".format(layer, k, number if t == "number" else t, "rare_n" if k == "x_rare" else "all_n")
+    for layer, number in (("hot", "decimal(38,9)"), ("cold", "double")) for k, t in _EXTRA_TYPES.items())
+
 ORACLE["c10_inject_context"] = _with(f"bronze AS ({BRONZE_SQL})", """ctx AS (
   SELECT parcel_id, min(route_id) AS r, min(courier_id) AS c, min(depot_id) AS d, min(merchant_id) AS m
   FROM bronze GROUP BY parcel_id)""") + """

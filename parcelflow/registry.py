@@ -209,6 +209,19 @@ def c8_infer_extras(spark, d):
     return infer_extras(with_variant(_messages(spark, d)))
 
 
+def c8_extra_kinds(spark, d):
+    """Extra fields of every kind, and of kinds that differ between the
+    messages, typed for both layers."""
+    configure(spark)
+    n = F.regexp_extract("event_id", r"(\d+)$", 1).cast("long")
+    raw = F.expr("""concat('{"event_id":"', event_id, '","x_flag":', if(n % 2 = 0, 'true', 'false'), ',"x_int":', n, ',"x_float":', n, '.25,"x_seen_ts":"2024-01-01T00:00:00Z"',
+        ',"x_text":"t"', ',"x_number":', n, if(n % 3 = 0, '.5', ''), ',"x_any":', if(n % 4 = 0, '1', '"one"'), ',"x_maybe":', if(n % 5 = 0, 'null', '7'),
+        ',"x_none":null,"x_list":[1],"x_late_ts":', if(n % 2 = 0, '5', '"2024-01-01"'), if(n % 7 = 0, ',"x_rare":true', ''), '}')""")
+    m = with_variant(bronze_from_dir(spark, d).withColumn("n", n).select(raw.alias("raw")))
+    each = [infer_extras(m, layer).select(F.lit(layer).alias("layer"), "key", "type", "n") for layer in ("hot", "cold")]
+    return each[0].unionByName(each[1])
+
+
 def c10_inject_context(spark, d):
     """Parcel context copied into events that allow but lack it."""
     configure(spark)
@@ -574,6 +587,7 @@ QUERIES: dict[str, Query] = {
     "s6_quarantine_by_rule": s6_quarantine_by_rule,
     "s6_dead_letter": s6_dead_letter,
     "c8_infer_extras": c8_infer_extras,
+    "c8_extra_kinds": c8_extra_kinds,
     "c7_evolve": c7_evolve,
     "d2_delete_return": d2_delete_return,
     "j5_change_feed": j5_change_feed,
