@@ -267,6 +267,23 @@ SELECT * FROM f1 WHERE NOT EXISTS (
 UNION ALL SELECT * FROM f2"""
 
 
+# Q4-Q6: later days only (T5), merged by event_id.
+_EVENT_FACTS = {
+    "fact_eta_events": ("event_id, parcel_id, route_id, depot_id, courier_id, merchant_id, source, first_planned_eta_ts, predicted_delivery_ts, generated_ts, event_ts, event_date",
+                        "event_type IN ('ETA_SET', 'ETA_UPDATED') AND predicted_delivery_ts IS NOT NULL AND generated_ts IS NOT NULL"),
+    "fact_parcel_deliveries": ("event_id, parcel_id, route_id, courier_id, attempt_number, outcome, failure_reason, delivered_ts, event_date",
+                               "event_type = 'DELIVERED' AND delivered_ts IS NOT NULL"),
+    "fact_parcel_delivery_attempts": ("event_id, parcel_id, route_id, courier_id, depot_id, merchant_id, attempt_number, outcome, failure_reason, event_ts AS attempt_ts, event_date",
+                                      "event_type = 'DELIVERED' AND attempt_number IS NOT NULL"),
+}
+for _name, (_columns, _where) in _EVENT_FACTS.items():
+    ORACLE[f"j2_{_name}_incremental"] = _with(
+        *_INC_SILVER,
+        f"f1 AS (SELECT {_columns} FROM b1 WHERE {_window_where(INC1_AS_OF)} AND {_where})",
+        f"f2 AS (SELECT {_columns} FROM silver_final WHERE {_window_where()} AND {_where} AND event_date > (SELECT COALESCE(max(event_date), DATE '1970-01-01') FROM f1))",
+    ) + "\nSELECT * FROM f1 WHERE event_id NOT IN (SELECT event_id FROM f2)\nUNION ALL SELECT * FROM f2"
+
+
 # -- contracts: expected outcome per defect class (independent of parsing) ----
 
 _EXPECTED_CASE = "CASE cls " + " ".join(f"WHEN {k} THEN '{v}'" for k, v in EXPECTED.items()) + " ELSE '' END"

@@ -157,15 +157,18 @@ def j2_silver_latest(spark, d):
     return spark.read.parquet(f"{base}/silver_parcel_latest")
 
 
-def j2_fact_depot_visits(spark, d):
-    configure(spark)
-    base = scratch_path(spark, "j2_fact_depot_visits")
-    bronze = bronze_from_dir(spark, d)
-    for as_of in (INC1_AS_OF, AS_OF):
-        build.run_silver_events(spark, bronze, f"{base}/silver_parcel_events", as_of, DAYS)
-        build.run_fact(spark, "fact_depot_visits", f"{base}/silver_parcel_events",
-                       f"{base}/fact_depot_visits", as_of, DAYS)
-    return spark.read.parquet(f"{base}/fact_depot_visits")
+def _incremental_fact(name):
+    """Two batches of silver and of one fact, merged by the fact's key (T5)."""
+    def run(spark, d):
+        configure(spark)
+        base = scratch_path(spark, f"j2_{name}")
+        bronze = bronze_from_dir(spark, d)
+        for as_of in (INC1_AS_OF, AS_OF):
+            build.run_silver_events(spark, bronze, f"{base}/silver_parcel_events", as_of, DAYS)
+            build.run_fact(spark, name, f"{base}/silver_parcel_events", f"{base}/{name}", as_of, DAYS)
+        return spark.read.parquet(f"{base}/{name}")
+
+    return run
 
 
 # -- contracts and producer rules ----------------------------------------------
@@ -581,7 +584,7 @@ QUERIES: dict[str, Query] = {
     "q19_vw_first_attempt_success": q19,
     "j2_silver_events_incremental": j2_silver_events,
     "j2_silver_latest_incremental": j2_silver_latest,
-    "j2_fact_depot_visits_incremental": j2_fact_depot_visits,
+    **{f"j2_{name}_incremental": _incremental_fact(name) for name in build.FACT_KEYS},
     "c4_contract_validation": c4_contract_validation,
     "c1_conform_bronze": c1_conform_bronze,
     "s6_quarantine_by_rule": s6_quarantine_by_rule,
