@@ -194,7 +194,7 @@ def test_pipeline_stages(spark, tmp_path):
         if name != corpus_pipeline.STAGES[-1][0]:
             assert docs.columns == before.columns
     ids = {k: {r.doc_id for r in v.select("doc_id").distinct().collect()} for k, v in seen.items()}
-    near = C.components([(r[0], r[1]) for r in rows if r[0] in ids["quality_rules"]], 3, 85)
+    near = C.components([(r[0], r[1]) for r in rows if r[0] in ids["quality_rules"]], 5, 80)
     assert ids["near_duplicates"] == {i for i, (n, c) in near.items() if i == c}
     assert 12 in ids["near_duplicates"] and 12 not in ids["benchmark_decontamination"]
     assert ids["personal_data"] == ids["benchmark_decontamination"] == ids["best_fit_packing"]
