@@ -246,6 +246,21 @@ _INC_SILVER = (
 
 ORACLE["j2_silver_events_incremental"] = _with(*_INC_SILVER) + "\nSELECT * FROM silver_final"
 
+ORACLE["j2_indexed_merge"] = _with(f"bronze AS ({BRONZE_SQL})", """b AS (
+  SELECT event_id, parcel_id, event_type, event_ts, sequence_no, CAST(regexp_extract(event_id, '(\\d+)$', 1) AS BIGINT) AS n,
+    CASE WHEN dayofmonth(event_ts) <= 10 THEN 0 WHEN dayofmonth(event_ts) <= 20 THEN 1 ELSE 2 END AS turn FROM bronze)""",
+    """brought AS (SELECT event_id, parcel_id, event_type, event_ts, sequence_no, turn FROM b
+  UNION ALL SELECT event_id, parcel_id, event_type, event_ts + INTERVAL '10' DAY, sequence_no + 100, r.k
+  FROM b JOIN (VALUES (1), (2)) r(k) ON b.turn < r.k AND b.n % 97 = r.k)""",
+    f"newest AS (SELECT *, ROW_NUMBER() OVER (PARTITION BY event_id ORDER BY turn DESC, {NEWEST}) AS k FROM brought)") + """
+SELECT event_id, parcel_id, event_type, event_ts, sequence_no, CAST(event_ts AS DATE) AS event_date FROM newest WHERE k = 1"""
+
+_DEPOTS = """SELECT '{as_of}' AS as_of, depot_id, max(event_ts) AS last_seen_ts, COUNT(*) FILTER (WHERE event_type = 'SCAN_IN_DEPOT') AS scan_in_count,
+  COUNT(*) FILTER (WHERE event_type = 'SCAN_OUT_DEPOT') AS scan_out_count FROM {src} WHERE depot_id IS NOT NULL GROUP BY depot_id"""
+ORACLE["s11_published_versions"] = _with(silver_ctes("p1", INC1_AS_OF, DAYS), silver_ctes("p2", AS_OF, DAYS)) + "\n" + "\nUNION ALL\n".join(
+    _DEPOTS.format(as_of=a, src=s) for a, s in ((INC1_AS_OF, "p1"), (AS_OF, "p2")))
+ORACLE["s11_published_view"] = ORACLE["q17_vw_depot_dwell_p95"]
+
 ORACLE["j2_silver_latest_incremental"] = _with(
     *_INC_SILVER,
     f"latest1 AS ({_latest_all('b1')})",

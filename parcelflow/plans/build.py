@@ -51,7 +51,7 @@ def _hw(spark: SparkSession, path: str, col: str, partition_col: str = "event_da
 
 def run_silver_events(spark: SparkSession, bronze: DataFrame, path: str, as_of, days: int = 7,
                       merge_mode: str = "reference", null_safe: bool = False,
-                      lateness_seconds: int = 0, keep_latest_per_type: bool = True) -> dict:
+                      lateness_seconds: int = 0, keep_latest_per_type: bool = True, key_index: bool = False) -> dict:
     """Q1 as an incremental model merged by ``event_id`` (reference, T3) or
     by (parcel_id, event_type) keeping the newest (``convergent``: equals a
     full refresh after any number of batches when no row is late)."""
@@ -59,18 +59,19 @@ def run_silver_events(spark: SparkSession, bronze: DataFrame, path: str, as_of,
     if exists(spark, path):
         inc = Incremental(_hw(spark, path, "event_ts"), null_safe, lateness_seconds)
     batch = silver_parcel_events(bronze, as_of, days, inc, keep_latest_per_type)
-    return upsert(spark, path, batch, MERGE_KEYS[merge_mode], cluster_by=["parcel_id", "event_type"])
+    return upsert(spark, path, batch, MERGE_KEYS[merge_mode], cluster_by=["parcel_id", "event_type"], key_index=key_index)
 
 
-def run_silver_latest(spark: SparkSession, silver_path: str, path: str) -> dict:
+def run_silver_latest(spark: SparkSession, silver_path: str, path: str, key_index: bool = False) -> dict:
     """Q2 incremental: recompute only parcels with events newer than the
-    target's ``max(event_ts)``, merged by parcel_id."""
+    target's ``max(event_ts)``, merged by parcel_id. ``key_index``: see
+    :func:`parcelflow.sources.tables.upsert`."""
     silver = spark.read.parquet(silver_path)
     if exists(spark, path):
         batch = silver_parcel_latest(silver, _hw(spark, path, "event_ts"), incremental=True)
     else:
         batch = silver_parcel_latest(silver)
-    return upsert(spark, path, batch, ["parcel_id"], cluster_by=["parcel_id"])
+    return upsert(spark, path, batch, ["parcel_id"], cluster_by=["parcel_id"], key_index=key_index)
 
 
 def run_fact(spark: SparkSession, name: str, silver_path: str, path: str, as_of, days: int = 7,

@@ -29,7 +29,8 @@ from .streaming import redelivery, reorder
 from .operators.quality import Check, freshness, run_suite
 from .plans import kpi, suite
 from .sources import bronze as bronze_io
-from .sources import history, schema_log
+from .sources import history, published, schema_log
+from .sources import tables as stored_tables
 from .sources.fixtures import read_table
 from .session import shared_dir
 
@@ -171,6 +172,56 @@ def _incremental_fact(name):
     return run
 
 
+def j2_indexed_merge(spark, d):
+    """J2 with the key index: three batches of ten days, merged by event_id. The
+    second and the third bring events of earlier batches again, ten days later,
+    so their old rows are found on days the batch does not have."""
+    configure(spark)
+    path = scratch_path(spark, "j2_indexed_merge")
+    cols = ["event_id", "parcel_id", "event_type", "event_ts", "sequence_no"]
+    b = bronze_from_dir(spark, d).select(*cols)
+    turn = F.when(F.dayofmonth("event_ts") <= 10, 0).when(F.dayofmonth("event_ts") <= 20, 1).otherwise(2)
+    n = F.regexp_extract("event_id", r"(\d+)$", 1).cast("long")
+    for k in range(3):
+        again = (b.where((turn < k) & (n % 97 == k)).withColumn("event_ts", F.expr("event_ts + INTERVAL '10' DAY")).withColumn("sequence_no", F.col("sequence_no") + 100))
+        batch = b.where(turn == k).unionByName(again).withColumn("event_date", F.to_date("event_ts"))
+        stored_tables.upsert(spark, path, batch, "event_id", key_index=True)
+    return spark.read.parquet(path)
+
+
+# The models that the reference keeps as tables, and its views over published tables.
+TABLE_MODELS = {"dim_depot": gold.dim_depot, "dim_route": gold.dim_route, "dim_exception_code": gold.dim_exception_code, "dim_service_tier": gold.dim_service_tier}
+VIEW_MODELS = {"vw_depot_dwell_p95": lambda s: gold.vw_depot_dwell_p95(s.read("fact_depot_visits"))}
+
+
+def _publish_models(spark, d, base, as_of):
+    s = _silver(spark, d, as_of)
+    published.publish(spark, base, {**{name: model(s) for name, model in TABLE_MODELS.items()}, "fact_depot_visits": facts.fact_depot_visits(s, as_of, DAYS)},
+                      partition_by={"fact_depot_visits": "event_date"})
+
+
+def s11_published_versions(spark, d):
+    """Dimensions published twice (events up to 2024-01-15, then all); one
+    reader opened before the second run and one after it, both reading after it."""
+    base = scratch_path(spark, "s11_published_versions")
+    readers = []
+    for as_of in (INC1_AS_OF, AS_OF):
+        _publish_models(spark, d, base, as_of)
+        readers.append(published.snapshot(spark, base))
+    rows = [r.read("dim_depot").select(F.lit(as_of).alias("as_of"), "depot_id", "last_seen_ts", "scan_in_count", "scan_out_count")
+            for r, as_of in zip(readers, (INC1_AS_OF, AS_OF))]
+    return rows[0].unionByName(rows[1])
+
+
+def s11_published_view(spark, d):
+    """The depot dwell view over the published facts, read by SQL."""
+    base = scratch_path(spark, "s11_published_view")
+    _publish_models(spark, d, base, AS_OF)
+    prefix = f"s11_{base.rstrip('/').rsplit('/', 1)[1].replace('-', '_')}_"
+    published.register_views(published.snapshot(spark, base), VIEW_MODELS, prefix)
+    return spark.sql(f"SELECT event_date, depot_id, depot_dwell_p95_min FROM `{prefix}vw_depot_dwell_p95`")
+
+
 # -- contracts and producer rules ----------------------------------------------
 
 def _messages(spark, d):
@@ -585,6 +636,9 @@ QUERIES: dict[str, Query] = {
     "j2_silver_events_incremental": j2_silver_events,
     "j2_silver_latest_incremental": j2_silver_latest,
     **{f"j2_{name}_incremental": _incremental_fact(name) for name in build.FACT_KEYS},
+    "j2_indexed_merge": j2_indexed_merge,
+    "s11_published_versions": s11_published_versions,
+    "s11_published_view": s11_published_view,
     "c4_contract_validation": c4_contract_validation,
     "c1_conform_bronze": c1_conform_bronze,
     "s6_quarantine_by_rule": s6_quarantine_by_rule,

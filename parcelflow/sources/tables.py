@@ -99,7 +99,7 @@ def read_table(spark: SparkSession, path: str) -> DataFrame | None:
 
 def upsert(spark: SparkSession, path: str, updates: DataFrame, keys, partition_col: str = "event_date",
            order=("event_ts", "sequence_no", "event_id"), cluster_by=None,
-           search_days: int | None = None, schema=None) -> dict:
+           search_days: int | None = None, schema=None, key_index: bool = False) -> dict:
     """Merge ``updates`` into the Parquet table at ``path`` by ``keys``
     (matched rows replaced, others inserted). Returns counts.
 
@@ -112,6 +112,9 @@ def upsert(spark: SparkSession, path: str, updates: DataFrame, keys, partition_c
     every day is searched, which is exact. ``search_days=n`` restricts the
     search to ``n`` days around the updates' days: a bounded cost for tables
     whose keys cannot move further than that (e.g. redelivered copies).
+    ``key_index`` keeps an index of the keys beside the table and searches only
+    the days that may hold one (:mod:`parcelflow.sources.key_index`): as exact
+    as searching every day.
     ``schema`` gives the table's columns where its files have not all of them
     (:mod:`parcelflow.sources.schema_log`).
     """
@@ -123,12 +126,16 @@ def upsert(spark: SparkSession, path: str, updates: DataFrame, keys, partition_c
     recover(spark, path)
     work = f"{path.rstrip('/')}__work-{uuid.uuid4().hex[:12]}"
     try:
-        return _upsert(spark, path, work, updates, keys, partition_col, order, cluster_by, search_days, null_key, schema)
+        done = _upsert(spark, path, work, updates, keys, partition_col, order, cluster_by, search_days, null_key, schema, key_index)
+        if key_index and _is_table(spark, path):
+            from .key_index import refresh
+            refresh(spark, path, keys, partition_col)
+        return done
     finally:
         _clear(spark, path, work)
 
 
-def _upsert(spark, path, work, updates, keys, partition_col, order, cluster_by, search_days, null_key, schema=None) -> dict:
+def _upsert(spark, path, work, updates, keys, partition_col, order, cluster_by, search_days, null_key, schema=None, key_index=False) -> dict:
     once = dedup_latest(updates, keys, [c for c in order if c in updates.columns] or keys)
     # Written once: the steps below read the batch and don't evaluate it again.
     once.write.parquet(f"{work}/updates")
@@ -160,6 +167,12 @@ def _upsert(spark, path, work, updates, keys, partition_col, order, cluster_by,
         lo = min(upd_days_nn) - _dt.timedelta(days=int(search_days))
         hi = max(upd_days_nn) + _dt.timedelta(days=int(search_days))
         searched = target.filter(F.col(partition_col).between(F.lit(lo), F.lit(hi)))
+    searched_days = None
+    if key_index:
+        from .key_index import days_to_open
+        no_day = _part_dir(partition_col, None).split("=", 1)[1]
+        searched_days = days_to_open(spark, path, upd, keys, partition_col)
+        searched = searched.filter(F.coalesce(F.col(partition_col).cast("string"), F.lit(no_day)).isin(sorted(searched_days)))
     moved = (searched.select(*keys, partition_col).join(upd.select(*keys), keys, "left_semi")
              .select(partition_col).distinct().collect())
     touched = sorted({*upd_days, *[r[0] for r in moved]}, key=lambda d: (d is None, str(d)))
@@ -171,7 +184,8 @@ def _upsert(spark, path, work, updates, keys, partition_col, order, cluster_by,
 
     materialize(new_content, f"{work}/new", partition_col, cluster_by, mode="overwrite")
     _swap(spark, work, path, partition_col, touched)
-    return {"inserted_or_updated": n_updates, "partitions": len(touched)}
+    done = {"inserted_or_updated": n_updates, "partitions": len(touched)}
+    return done if searched_days is None else {**done, "searched": len(searched_days)}
 
 
 def replace_groups(spark: SparkSession, path: str, dirty: DataFrame, rows: DataFrame, key: str, partition_col: str = "event_date", cluster_by=None) -> list:
