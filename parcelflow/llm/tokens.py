@@ -28,7 +28,8 @@ RUN = 256
 #: A lower-case Latin word, perhaps with one sign behind it: the tokenizer's
 #: normaliser leaves its letters as they are and its splitter takes the word
 #: and the sign as one unit each. (UTF-8 of a-z, U+00DF-U+00FF but U+00F7, and U+0153.)
-PLAIN = re.compile(rb"((?:[a-z]|\xc3[\x9f-\xb6\xb8-\xbf]|\xc5\x93)+)([.,;:!?]?)")
+#: Matched over many pieces at once, one a line: (word, sign, any other piece).
+PLAIN = re.compile(rb"(?m)^(?:((?:[a-z]|\xc3[\x9f-\xb6\xb8-\xbf]|\xc5\x93)++)([.,;:!?]?)$|(.+)$)")
 
 TOKENIZER = "word_bpe_49k.json"
 
@@ -156,8 +157,8 @@ class PieceTokenizer:
             if len(new):
                 fresh, first = np.unique(keys[new], return_index=True)
                 at = new[first]
-                found = [raw[a:b] for a, b in zip(w.start[at].tolist(), w.end[at].tolist())]
-                self._store(fresh, self.encode([x.lower() if self.lower else x for x in found]))
+                cased = raw.lower() if self.lower else raw
+                self._store(fresh, self.encode([cased[a:b] for a, b in zip(w.start[at].tolist(), w.end[at].tolist())]))
                 place[new] = self._find(keys[new])
             length = self.length[place]
             ends = np.cumsum(length)
@@ -181,20 +182,17 @@ class PieceTokenizer:
 
     def encode(self, pieces: list[bytes]) -> list[bytes]:
         """Ids of each piece as little-endian 32-bit bytes."""
-        known: dict[bytes, bytes] = {}
-        plain, rest = [], []
-        match = PLAIN.fullmatch
-        for p in pieces:
-            m = match(p) if self.lower else None
-            if m:
-                plain.append((p, *m.groups()))
-            else:
-                rest.append(p)
-        words = list({w for _, w, _ in plain})
-        runs = [words[k:k + RUN] for k in range(0, len(words), RUN)]
-        of = {}
-        if runs:
-            encoded = self.merges.encode_batch_fast([b" ".join(run).decode("utf-8").translate(self.letters) for run in runs], add_special_tokens=False)
+        rows = PLAIN.findall(b"\n".join(pieces)) if self.lower else [(b"", b"", p) for p in pieces]
+        if len(rows) != len(pieces):
+            raise ValueError("a piece holds a line end")
+        words = dict.fromkeys(w for w, _, _ in rows if w)
+        # Words of ASCII letters have the letters of their bytes already.
+        of: dict[bytes, bytes] = {}
+        for simple in (True, False):
+            some = [w for w in words if w.isascii() == simple]
+            runs = [some[k:k + RUN] for k in range(0, len(some), RUN)]
+            texts = [b" ".join(run).decode("utf-8") for run in runs]
+            encoded = self.merges.encode_batch_fast(texts if simple else [t.translate(self.letters) for t in texts], add_special_tokens=False) if runs else []
             for run, e in zip(runs, encoded):
                 ids = array("I", e.ids)
                 cuts = (4 * np.flatnonzero(self.ends[np.frombuffer(ids, np.uint32)]) + 4).tolist()
@@ -202,11 +200,10 @@ class PieceTokenizer:
                     raise ValueError("a word's last token is not marked as its end")
                 raw = ids.tobytes()
                 of.update(zip(run, [raw[a:b] for a, b in zip([0, *cuts], cuts)]))
-            signs = self.signs
-            known.update([(p, of[w] + signs[c]) for p, w, c in plain])
-        for p, e in zip(rest, self.library.encode_batch_fast([p.decode("utf-8") for p in rest], add_special_tokens=False)):
-            known[p] = array("I", e.ids).tobytes()
-        return [known[p] for p in pieces]
+        rest = list(dict.fromkeys(r for _, _, r in rows if r))
+        other = {p: array("I", e.ids).tobytes() for p, e in zip(rest, self.library.encode_batch_fast([p.decode("utf-8") for p in rest], add_special_tokens=False))}
+        signs = self.signs if self.lower else {}
+        return [of[w] + signs[c] if w else other[r] for w, c, r in rows]
 
 
 def piece_tokenizer(path: str) -> PieceTokenizer:

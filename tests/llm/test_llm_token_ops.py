@@ -53,6 +53,7 @@ def test_grammar_round_trip(ids):
     x = np.array(ids, np.uint32)
     seq, rules, lengths = R.compress(x, min_count=2)
     assert (R.expand(seq, rules) == x).all()
+    assert R.expand_all(seq, rules, lengths).tolist() == ids
     assert [len(R.expand(np.array([R.FIRST_SYMBOL + k]), rules)) for k in range(len(rules))] == lengths.tolist()
     width, raw = R._packed(seq)
     row = {"sequence": raw, "width": width, "rules": rules.tobytes(), "lengths": lengths.tobytes(), "first_symbol": R.FIRST_SYMBOL}
