@@ -32,8 +32,10 @@ MAX_SYMBOL_PERCENT = 10        # symbols per 100 words
 MAX_DUP_LINE_PERCENT = 50      # lines equal to an earlier line
 MAX_CAPITAL_PERCENT = 30       # A-Z among the characters of words
 MEAN_WORD_CHARS = (3, 10)
-#: The sample on which cost and selectivity are estimated (rows at most).
+#: The sample on which cost and selectivity are estimated (about so many rows).
 SAMPLE_ROWS = 2000
+#: Partitions of the sample, and the seed that draws it.
+SAMPLE_PARTS, SAMPLE_SEED = 8, 7
 SYMBOLS = "[^#*$%&|<>]+"
 
 
@@ -148,13 +150,14 @@ def plan(docs: DataFrame, rules: list[Rule] | None = None, sample_rows: int = SA
          text: str = "text") -> tuple[list[Rule], list[Estimate]]:
     """Order ``rules`` by the share they reject per second on a sample.
 
-    The sample is at most ``sample_rows`` rows from the first partitions that
-    hold some. It decides the order only, never a verdict. Each rule's cost is
+    The sample is a random share of all rows, about ``sample_rows`` in number
+    however many partitions there are. It decides the order only, never a verdict. Each rule's cost is
     the time to aggregate its verdicts over the cached sample, less that of a
     pass without a rule.
     """
     rules = list(RULES if rules is None else rules)
-    sample = docs.select(F.col(text).alias("_q_text")).limit(sample_rows).persist()
+    share = min(1.0, sample_rows / max(docs.count(), 1))
+    sample = docs.select(F.col(text).alias("_q_text")).sample(share, seed=SAMPLE_SEED).repartition(SAMPLE_PARTS).persist()
     try:
         n = sample.count()
         if not n:
