@@ -42,12 +42,16 @@ TITLES = rf"(?=[{''.join(sorted({x[0] for x in MALE + FEMALE}))}])(?:{'|'.join(M
 # A secret's keyword in any letter case and the sign, each perhaps with a quote and blanks around.
 SECRET_KEY = r"(?=[pstaPSTA])(?i:password|passwd|secret|token|api_key|apikey)[\"']?+[ \t]*+[=:][ \t]*+[\"']?+"
 
+# A word of a name: letters of any case after a capital, with hyphens before a
+# capital and apostrophes within; a possessive 's is not part of it.
+NAME_WORD = r"\p{Lu}(?:\p{L}|['’](?!s(?!\p{L}))(?=\p{L})|-(?=\p{Lu}))++"
+
 # Entity patterns, in the order in which they are tried at one place. Each
 # begins with a test of one character, so most places fail at once. Secrets and
-# keys have no longest length; their repeats are possessive, so a long one is
+# keys, names and local parts have no longest length; their repeats are possessive, so a long one is
 # read once.
 PATTERNS = {
-    "email": r"(?<![\p{L}\p{N}._%+-])[\p{L}\p{N}._%+-]{1,64}+@[\p{L}\p{N}-]{1,63}(?:\.[\p{L}\p{N}-]{1,63}){1,8}",
+    "email": r"(?<![\p{L}\p{N}._%+-])[\p{L}\p{N}._%+-]++@[\p{L}\p{N}-]{1,63}(?:\.[\p{L}\p{N}-]{1,63}){1,8}",
     "access_key": r"AKIA(?<![A-Za-z0-9]AKIA)[0-9A-Z]{16}(?![A-Za-z0-9])",
     "hex_key": r"(?<![0-9A-Za-z])[0-9a-f]{32,}+(?![0-9A-Za-z])",
     "iban": r"(?<![A-Za-z0-9])[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){3,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9])",
@@ -55,7 +59,7 @@ PATTERNS = {
     "phone": r"(?<![\w+])(?:(?:\+\d{1,3}[ .-]?)?\(\d{2,4}\)[ .-]?\d{3,4}[ .-]?\d{3,4}|\+\d{1,3}(?:[ .-]?\d{2,4}){2,5}|\d{3}[.-]\d{3}[.-]\d{4})(?!\d)",
     "ssn": r"(?<![\d-])\d{3}-\d{2}-\d{4}(?![\d-])",
     "card": r"(?<![\d.])(?:\d{13,19}|(?:\d{4}[ -]){3}\d{4})(?!\d)",
-    "name": rf"{TITLES}(?<!\p{{L}}(?:{'|'.join(MALE + FEMALE)}))\.? \p{{Lu}}\p{{Ll}}{{1,30}}+(?: \p{{Lu}}\p{{Ll}}{{1,30}}+)?",
+    "name": rf"{TITLES}(?<!\p{{L}}(?:{'|'.join(MALE + FEMALE)}))\.? {NAME_WORD}(?: {NAME_WORD})*+",
 }
 # A secret is the keyword, the sign and the value: what stands before white
 # space, a quote, a comma or a semicolon. A value that is as a whole an entity
@@ -95,12 +99,18 @@ def _first_type(value: Column) -> Column:
     return F.when(value.rlike(rf"^(?:{'|'.join(FEMALE)})\b"), F.lit("first_f")).otherwise(F.lit("first_m"))
 
 
+def _name_words(value: Column) -> Column:
+    """Words of a name without its title."""
+    w = F.split(value, " ")
+    return F.slice(w, 2, F.size(w) - 1)
+
+
 def parts(value: Column) -> Column:
     """Canonical parts of an entity: array of struct(type, canonical)."""
     w = F.split(value, " ")
     k = kind(value)
-    name = F.when(F.size(w) > 2, F.array(_part(_first_type(value), F.lower(F.get(w, 1))), _part("family", F.lower(F.get(w, 2))))
-                  ).otherwise(F.array(_part("family", F.lower(F.get(w, 1)))))
+    # The last word is the family name, those before it are given names.
+    name = F.transform(_name_words(value), lambda x, i: _part(F.when(i == F.size(w) - 2, F.lit("family")).otherwise(_first_type(value)), F.lower(x)))
     plain = (F.when(k.isin("phone", "card", "ssn"), F.regexp_replace(value, "[^0-9]", ""))
              .when(k == "iban", F.regexp_replace(value, " ", "")).when(k == "email", F.lower(value))
              .when(k == "secret", F.regexp_replace(value, f"^{SECRET_KEY}", "")).otherwise(value))
@@ -202,6 +212,11 @@ def _cased(value: Column, new: Column) -> Column:
     return F.array_join(F.transform(chars, lambda c, i: F.when(F.substring(value, (i + 1).cast("int"), F.lit(1)).rlike(r"\p{Lu}"), F.upper(c)).otherwise(c)), "")
 
 
+def _name_case(value: Column, new: Column) -> Column:
+    """``new`` in capitals where the word ``value`` is, else with one."""
+    return F.when(value.rlike(r"^\P{Ll}+$"), F.upper(new)).otherwise(F.initcap(new))
+
+
 def replacement(key: str, value: Column, redrawn: Column) -> Column:
     """Surrogate of an entity in its own format. ``redrawn``: array of
     struct(type, canonical, draw) of the entities that drew again."""
@@ -213,7 +228,7 @@ def replacement(key: str, value: Column, redrawn: Column) -> Column:
 
     news = F.transform(ps, new)
     title = F.substring_index(value, " ", 1)
-    return (F.when(k == "name", F.concat_ws(" ", title, F.array_join(F.transform(news, lambda x: F.initcap(x)), " ")))
+    return (F.when(k == "name", F.concat_ws(" ", title, F.array_join(F.zip_with(_name_words(value), news, _name_case), " ")))
             .when(k.isin("phone", "card", "ssn", "iban"), _poured(value, F.get(news, 0)))
             .when(k == "secret", F.concat(F.regexp_extract(value, f"^{SECRET_KEY}", 0), F.get(news, 0)))
             .when(k == "email", _cased(value, F.get(news, 0))).otherwise(F.get(news, 0)))

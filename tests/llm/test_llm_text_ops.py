@@ -195,3 +195,18 @@ def test_secrets_of_any_length_and_form(spark):
     a, b = got[same[2]].removeprefix("secret: ").split(", ")
     assert a == b != "ann@mail.example.com"
     assert len({got[t] for t in same[3:]}) == 26
+
+
+def test_names_and_addresses_of_any_form(spark):
+    gone = {1: ("Mr. Jean-Paul Sartre", ["Jean", "Paul", "Sartre"]), 2: ("Mr. McDonald", ["McD", "Donald"]), 3: ("Mrs. Anna Maria Smith", ["Anna", "Maria", "Smith"]),
+            4: ("Mr. O'Neill", ["Neill"]), 5: ("Mr. " + "Aeiou" * 4000, ["eiou"]), 6: ("a" * 70 + "@example.com", ["aaaa", "@example"]), 7: ("Mr. JOHN SMITH", ["JOHN", "SMITH"]),
+            8: ("Mr. D\u2019Angelo", ["Angelo"]), 9: ("Herr M\u00fcller-L\u00fcdenscheidt", ["\u00fcller", "scheidt"]), 10: ("Mr. " + " ".join(["Abc"] * 5000), ["Abc"])}
+    texts = {k: f"Then {x} came, as {x}'s friends said." for k, (x, _) in gone.items()}
+    out = {r.doc_id: r for r in P.replace_pii(spark.createDataFrame(list(texts.items()), "doc_id long, text string"), out_count="n").collect()}
+    for k, (_, words) in gone.items():
+        t = out[k].text
+        assert out[k].n == 2 and t.startswith("Then ") and t.endswith("'s friends said."), (k, t[:200])
+        assert not [w for w in words if w in t], (k, t[:200])
+        a, b = t.removeprefix("Then ").removesuffix("'s friends said.").split(" came, as ")
+        assert a == b
+    assert out[7].text.split(" came")[0].removeprefix("Then Mr. ").isupper()
