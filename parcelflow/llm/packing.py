@@ -4,9 +4,15 @@ Documents are tokenised; only those longer than the capacity are cut. The
 pieces are dealt over partitions of bounded size, each packed by best-fit
 decreasing. Dual feasible functions over a partition's size histogram give a
 lower bound on its bins: a partition that meets it is certified optimal. While
-the total exceeds the bound over all pieces, the partitions' unfilled bins give
-up their pieces, which are dealt anew over as few partitions as hold them and
-packed again; a rerun is kept only when it saves a bin.
+the total exceeds the bound over all pieces, the unfilled bins of partitions
+with a gap give up their pieces, which are dealt anew over as few partitions as
+hold them and packed again; a rerun is kept only when it saves bins (``MIN_SAVING``). When no
+gap is left to close, the certified partitions' unfilled bins (about one a
+partition) are joined with them in the same way. It ends when no rerun is kept.
+
+Every piece carries its group's certificate: ``part_bins`` used and
+``part_bound`` needed. A full bin that stays behind in an exchange is a group of
+its own, of one bin and bound one.
 
 Defined results: null and empty texts are the end id alone; repeated rows are
 packed as often as they occur; an empty table gives an empty result. Extra
@@ -16,11 +22,12 @@ columns are ignored; working columns start with ``_b_``.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import stored, table
@@ -30,8 +37,9 @@ from .worker import trim
 CAPACITY = 4096
 END_ID = 1
 #: Pieces dealt to one partition, on average; bounds what one task packs.
-PIECES_PER_PART = 50_000
-MAX_ROUNDS = 4
+PIECES_PER_PART = 50_000    # far below 2^20, which sequence numbers keep for a part's bins
+#: Share of the bins given up that a rerun must save to be kept (one bin at least).
+MIN_SAVING = 0.001
 
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
@@ -124,7 +132,7 @@ def _pack_part(capacity: int):
         sizes = pdf["length"].to_numpy()
         b, off, fill = best_fit(sizes, capacity)
         bound = lower_bound(np.bincount(sizes, minlength=capacity + 1), capacity)
-        return pdf.assign(_b_bin=b, offset=off, _b_fill=fill[b], _b_bound=bound)
+        return pdf.assign(_b_bin=b, offset=off, _b_fill=fill[b], _b_bins=len(fill), _b_bound=bound)
 
     return run
 
@@ -136,20 +144,42 @@ def _packed(rows: DataFrame, n: int, capacity: int, number: int, pieces_per_part
     parts = max(1, -(-n // pieces_per_part))
     cols = [*(c.split()[0] for c in PIECES.split(", ")), "_b_row"]
     dealt = rows.select(*cols, F.pmod(F.xxhash64("_b_row", F.lit(number)), F.lit(parts)).cast("int").alias("_b_part"))
-    schema = f"{PIECES}, _b_row long, _b_part int, _b_bin long, offset long, _b_fill long, _b_bound long"
+    schema = f"{PIECES}, _b_row long, _b_part int, _b_bin long, offset long, _b_fill long, _b_bins long, _b_bound long"
     out = dealt.groupBy("_b_part").applyInPandas(_pack_part(capacity), schema)
     return stored(out.withColumn("_b_round", F.lit(number)), "packing-round")
 
 
-def _bins(packed: DataFrame) -> tuple[int, int]:
-    """Bins used, and the partitions that meet their own bound."""
-    by_part = packed.groupBy("_b_round", "_b_part").agg((F.max("_b_bin") + 1).alias("n"), F.max("_b_bound").alias("bound"))
-    r = by_part.agg(F.sum("n"), F.sum((F.col("n") == F.col("bound")).cast("long"))).first()
-    return r[0] or 0, r[1] or 0
+#: What the groups of a round have given up so far: nothing, the unfilled bins of those with a gap, all unfilled bins.
+WHOLE, GAVE_GAPS, GAVE_ALL = 0, 1, 2
+
+
+def _gap() -> Column:
+    return F.col("_b_bins") > F.col("_b_bound")
+
+
+def _bins() -> Column:
+    return F.sum(F.when(F.col("offset") == 0, 1).otherwise(0))
+
+
+def _union(frames: list[DataFrame]) -> DataFrame:
+    return reduce(DataFrame.unionByName, frames)
 
 
-def pack(parts: DataFrame, capacity: int = CAPACITY, pieces_per_part: int = PIECES_PER_PART, max_rounds: int = MAX_ROUNDS) -> DataFrame:
-    """Pieces with sequence_id and offset."""
+def _gives(t: DataFrame, state: int, capacity: int, wide: bool) -> DataFrame:
+    """Rows of a round in bins that the next exchange takes."""
+    asked = {WHOLE: F.lit(True) if wide else _gap(), GAVE_GAPS: ~_gap() if wide else F.lit(False), GAVE_ALL: F.lit(False)}[state]
+    return t.where(asked & (F.col("_b_fill") < capacity))
+
+
+def _stays(t: DataFrame, state: int, capacity: int) -> DataFrame:
+    """Rows of a round that no exchange took, with their group's certificate."""
+    gave = {WHOLE: F.lit(False), GAVE_GAPS: _gap(), GAVE_ALL: F.lit(True)}[state]
+    one = F.lit(1).cast("long")
+    return t.where(~gave | (F.col("_b_fill") == capacity)).withColumns({c: F.when(gave, one).otherwise(F.col(c)) for c in ("_b_bins", "_b_bound")})
+
+
+def pack(parts: DataFrame, capacity: int = CAPACITY, pieces_per_part: int = PIECES_PER_PART) -> DataFrame:
+    """Pieces with sequence_id, offset, part_bins and part_bound."""
     rows = stored(parts.withColumn("_b_row", F.monotonically_increasing_id()), "packing-pieces")
     sizes = {r["length"]: r["count"] for r in rows.groupBy("length").count().collect()}   # one entry per size, at most the capacity
     n = sum(sizes.values())
@@ -157,22 +187,28 @@ def pack(parts: DataFrame, capacity: int = CAPACITY, pieces_per_part: int = PIEC
     for s, c in sizes.items():
         counts[s] = c
     bound = lower_bound(counts, capacity)
-    packed = _packed(rows, n, capacity, 0, pieces_per_part)
-    total, _ = _bins(packed)
-    kept = packed
-    for number in range(1, max_rounds):
-        if total <= bound:
-            break
-        loose = kept.where(F.col("_b_fill") < capacity)
-        full = kept.where(F.col("_b_fill") == capacity)
-        m, old = loose.agg(F.count("*"), F.sum(F.when(F.col("offset") == 0, 1).otherwise(0))).first()
-        again = _packed(loose, m, capacity, number, pieces_per_part)
-        new, _ = _bins(again)
-        if new >= (old or 0):
+    rounds, state = [_packed(rows, n, capacity, 0, pieces_per_part)], [WHOLE]
+    total = rounds[0].agg(_bins()).first()[0] or 0
+    wide = False
+    while total > bound:
+        loose = _union([_gives(t, s, capacity, wide) for t, s in zip(rounds, state)])
+        group = F.struct("_b_round", "_b_part")
+        m, old, low, high = loose.agg(F.count("*"), _bins(), F.min(group), F.max(group)).first()
+        again, saved = None, 0
+        if m and low != high:                            # one partition alone has nobody to exchange with
+            again = _packed(loose, m, capacity, len(rounds), pieces_per_part)
+            saved = old - again.agg(_bins()).first()[0]
+        if saved >= max(1, MIN_SAVING * (old or 0)):
+            state = [GAVE_ALL if wide else max(s, GAVE_GAPS) for s in state] + [WHOLE]
+            rounds, total = [*rounds, again], total - saved
+        elif wide:
             break
-        kept, total = full.unionByName(again), total - (old or 0) + new
-    sequence = F.col("_b_round").cast("long") * (1 << 56) + F.col("_b_part").cast("long") * (1 << 32) + F.col("_b_bin")
-    return kept.select("doc_id", "piece", "start", "length", "ids_crc32", sequence.alias("sequence_id"), "offset")
+        else:
+            wide = True                                  # no gap is left to close
+    kept = _union([_stays(t, s, capacity) for t, s in zip(rounds, state)])
+    sequence = F.col("_b_round").cast("long") * (1 << 51) + F.col("_b_part").cast("long") * (1 << 20) + F.col("_b_bin")
+    return kept.select("doc_id", "piece", "start", "length", "ids_crc32", sequence.alias("sequence_id"), "offset",
+                       F.col("_b_bins").alias("part_bins"), F.col("_b_bound").alias("part_bound"))
 
 
 # ---- registered query and pipeline stage ------------------------------------
