@@ -293,7 +293,7 @@ def _search(width: int):
         drop()
         runs = repeated_runs([np.frombuffer(x, np.uint32) for x in pdf["words"]], pdf["places"].to_numpy(), width)
         keep = [k for k, r in enumerate(runs) if r]
-        return pd.DataFrame({"segment": pdf["segment"].to_numpy()[keep], "found": [[{"o": a, "n": n} for a, n in runs[k]] for k in keep]})
+        return pd.DataFrame({"route": pdf["route"].to_numpy()[keep], "segment": pdf["segment"].to_numpy()[keep], "found": [[{"o": a, "n": n} for a, n in runs[k]] for k in keep]})
 
     return run
 
@@ -319,11 +319,11 @@ def repeated_intervals(docs: DataFrame, window: int = WINDOW, gram: int = GRAM,
     shards = max(1, -(-total // (4 * shard_words)))
     distinct = segments.groupBy("route", "segment").agg(F.first("words").alias("words"), F.count("*").alias("places"))
     found = (distinct.withColumn("_f_shard", F.pmod(F.xxhash64("route"), F.lit(shards))).groupBy("_f_shard")
-             .applyInPandas(_search(window), "segment long, found array<struct<o:int,n:int>>"))
+             .applyInPandas(_search(window), "route long, segment long, found array<struct<o:int,n:int>>"))
     found = stored(found, "fm-found")
     del distinct
     release(spark)
-    hits = segments.select("_f_row", "first", "segment").join(found, "segment").select("_f_row", "first", F.explode("found").alias("f"))
+    hits = segments.select("_f_row", "first", "route", "segment").join(found, ["route", "segment"]).select("_f_row", "first", F.explode("found").alias("f"))
     return hits.select("_f_row", F.struct((F.col("first") + F.col("f.o")).alias("a"), (F.col("first") + F.col("f.o") + F.col("f.n") + (window - 1)).alias("b")).alias("r"))
 
 
