@@ -230,13 +230,12 @@ def finish(m: tuple, closed) -> int:
     return n + sum(closed(x) for x in (head, tail) if x)
 
 
-def scan(maps: list[tuple], closed) -> list[tuple]:
-    """Inclusive prefix compositions, in log2 rounds of independent steps."""
-    out, gap = list(maps), 1
-    while gap < len(out):
-        out = [compose(out[k - gap], out[k], closed) if k >= gap else out[k] for k in range(len(out))]
-        gap *= 2
-    return out
+def total(maps: list[tuple], closed) -> tuple:
+    """Composition of all maps in order, by rounds of independent neighbours;
+    a round holds no more symbols than the one before."""
+    while len(maps) > 1:
+        maps = [compose(maps[k], maps[k + 1], closed) if k + 1 < len(maps) else maps[k] for k in range(0, len(maps), 2)]
+    return maps[0]
 
 
 # ---- over all documents -----------------------------------------------------
@@ -276,7 +275,7 @@ def _folder(path: str):
     def fold(maps: pd.Series) -> pd.Series:
         c = _counter(path)
         closed = c.__getitem__
-        return pd.Series([finish(scan([(bytes(m["head"]), int(m["tokens"]), bytes(m["tail"]), bool(m["spaced"])) for m in ms], closed)[-1], closed) for ms in maps])
+        return pd.Series([finish(total([(bytes(m["head"]), int(m["tokens"]), bytes(m["tail"]), bool(m["spaced"])) for m in ms], closed), closed) for ms in maps])
 
     return fold
 
@@ -286,8 +285,9 @@ def count_tokens(docs: DataFrame, path: str, text: str = "text", out: str = "n_t
 
     A text of one chunk is counted where it is. A longer one is cut; its chunks
     are mapped in parallel, wherever they land, and their small maps brought
-    together and composed.
+    together and composed. A given column of the result's name is replaced.
     """
+    docs = docs.drop(out) if out != text else docs
     data = F.coalesce(F.col(text), F.lit("")).cast("binary")
     src = docs.withColumn("_t_data", data)
     short = src.where(F.octet_length("_t_data") <= chunk_bytes)
