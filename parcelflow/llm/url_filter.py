@@ -5,10 +5,10 @@ expressions: lengths, path depth, digit ratio, character entropy, parameter
 counts, sign counts and the block rate of the host's suffix, smoothed and, in
 training, taken from the other folds so that a URL's own label stays out of it.
 
-``op2_url_gbt`` has labels from the table ``labels``: a page takes the label of
-the document of the same number, to block when toxic or of low quality. In the
-given tables URLs carry next to no signal of it, so the model is rarely sure;
-its accuracy on URLs that do is tested on held-out rows in ``tests/llm``.
+``op2_url_gbt`` is trained on the labelled URLs that its tables hold: those that
+a rule decides, with the rule's verdict. The trees carry that over to URLs
+without a rule; how well they agree with the rules on held-out URLs is tested in
+``tests/llm``.
 
 Defined results: a null URL, or one without ``://``, has an empty host and path
 and no rule; without labels of both kinds the default verdict is allow; null
@@ -172,18 +172,25 @@ def fit(labelled: DataFrame, url: str = "url", label: str = "label", max_rows: i
 
 
 def judge(urls: DataFrame, model: UrlModel, url: str = "url", rules=RULES, block_at: float = BLOCK_AT) -> DataFrame:
-    """``urls`` with host, path, rule, score and verdict (the rule's, else the model's)."""
+    """``urls`` with host, path, rule, score and verdict (the rule's, else
+    the model's); given columns of those names are replaced."""
     name, says = rule_for(F.col("_u_host"), F.col("_u_path"), rules)
     scored = model.score(urls, url, "_u_score").withColumn("_u_host", host(F.col(url))).withColumn("_u_path", path(F.col(url)))
-    return scored.select(*urls.columns, F.col("_u_host").alias("host"), F.col("_u_path").alias("path"), name.alias("rule"),
+    own = [c for c in urls.columns if c == url or c not in ("host", "path", "rule", "verdict", "score")]
+    return scored.select(*own, F.col("_u_host").alias("host"), F.col("_u_path").alias("path"), name.alias("rule"),
                          F.coalesce(says, F.when(F.col("_u_score") >= block_at, "block").otherwise("allow")).alias("verdict"),
                          F.col("_u_score").alias("score"))
 
 
 # ---- registered query -------------------------------------------------------
 
+def rule_labels(pages: DataFrame, url: str = "url", rules=RULES) -> DataFrame:
+    """(url, label): the URLs that a rule decides, 1 where it blocks."""
+    at = pages.select(F.col(url).alias("url"), host(F.col(url)).alias("_u_host"), path(F.col(url)).alias("_u_path"))
+    _, says = rule_for(F.col("_u_host"), F.col("_u_path"), rules)
+    return at.select("url", (says == "block").cast("int").alias("label")).where("label is not null")
+
+
 def op2_url_gbt(spark, sf_dir: str) -> DataFrame:
     pages = table(spark, sf_dir, "pages").select("page_id", "url")
-    labels = table(spark, sf_dir, "labels").select(F.col("doc_id").alias("page_id"), ((F.col("toxic") == 1) | (F.col("quality") == 0)).cast("int").alias("label"))
-    model = fit(pages.join(labels, "page_id").where("url is not null"))
-    return judge(pages, model).select("page_id", "host", "path", "rule", "verdict", "score")
+    return judge(pages, fit(rule_labels(pages))).select("page_id", "host", "path", "rule", "verdict", "score")
