@@ -1,5 +1,6 @@
 """Quality rules, near duplicates, decontamination, repeated passages, surrogates."""
 
+import hashlib
 import os
 import re
 import sys
@@ -91,12 +92,14 @@ def test_decontaminate_equals_brute_force(spark):
     extra = ["say: ONE, two", "zwölf   STRASSE zwölf straße"]
     docs = C.frame(spark, extra)
     bench = spark.createDataFrame(items, "item_id long, text string")
-    for block in (D.BLOCK_BYTES, 200):
-        got = D.find(docs, bench, block_bytes=block).collect()
+    for block in (D.BLOCK_WORDS, 20):
+        got = D.find(docs, bench, block_words=block).collect()
         assert len(got) == len(C.rows(extra))
         for r in got:
             n, hit, ids = C.hits(r.text, items)
             assert (r._d_n, sum(x.end - x.first for x in r._d_ranges), set(r._d_items)) == (n, hit, ids), r.doc_id
+    clash = D.decontaminate(docs.withColumn("n_words", F.lit("given")), bench)
+    assert clash.columns.count("n_words") == 1 and dict(clash.dtypes)["n_words"] == "bigint"
     spans = {r.doc_id: r for r in D.decontaminate(docs, bench).collect()}
     r = spans[len(t)]
     assert [r.text[s.start:s.end] for s in r.hit_spans] == ["ONE"]
@@ -104,6 +107,42 @@ def test_decontaminate_equals_brute_force(spark):
     assert D.find(C.empty(spark), bench).count() == 0
 
 
+def test_automaton_stays_within_its_nodes():
+    """At most one node a word and window place, whatever the words' lengths; equal texts of many items are one entry."""
+    rnd = np.random.default_rng(2)
+    texts = [" ".join(rnd.choice([f"averylongbenchmarkword{k}" for k in range(3000)], 40)) for _ in range(500)]
+    number, words = D.numbered_texts(texts)
+    a = D.windows_automaton(words)
+    assert a.get_stats()["nodes_count"] <= D.WINDOW * sum(map(len, words)) + 1
+    w = texts[7].upper() + " other " + texts[9]
+    assert D.scan(w, number, a) == (81, [(0, 40), (41, 81)], {7, 9})
+
+
+def test_registered_text_queries_equal_brute_force(spark, tmp_path):
+    t = C.texts()
+    rows = [*C.rows(["say: ONE, two", " ".join(t[7].split()[30:45])]), (None, "no id here", "en", "s", 10, "n", "b", "low", "t")]
+    items = [(10, " ".join(t[7].split()[20:60])), (9, " ".join(t[7].split()[20:60])), (3, "one"), (4, None), (None, t[12]), (5, " ,. ")]
+    spark.createDataFrame(rows, C.SCHEMA).repartition(3).write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame(items, "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    ids = [(r[0], r[1]) for r in rows]
+
+    def want7(text):
+        n, hit, found = C.hits(text, items)
+        named = sorted(str(i) for i in found if i is not None)
+        return n, hit, len(named), hashlib.sha256(",".join(named).encode()).hexdigest(), hit > 0 and 20 * hit >= n
+
+    got = sorted((tuple(r) for r in D.op7_decontaminate(spark, str(tmp_path)).collect()), key=repr)
+    assert got == sorted(((i, *want7(x)) for i, x in ids), key=repr)
+    got = sorted((tuple(r) for r in M.op8_fm_dedup(spark, str(tmp_path)).collect()), key=repr)
+    assert got == sorted(((i, *w) for (i, _), w in zip(ids, C.without_repeats([x for _, x in ids], 35))), key=repr)
+    near = C.components([(i, x) for i, x in ids if i is not None], 3, 85)
+    got = N.op4_near_dedup(spark, str(tmp_path)).collect()
+    assert len(got) == len(rows)
+    for r in got:
+        if r.doc_id is not None:
+            assert (r.n_shingles, r.component_id, r.kept) == (*near[r.doc_id], r.doc_id == near[r.doc_id][1])
+
+
 @pytest.mark.parametrize("hot", [1000, 1])
 def test_repeats_equal_brute_force(spark, hot):
     rows = C.rows()
