@@ -50,3 +50,17 @@ def test_five_deliveries_then_aside(spark, tmp_path):
 def test_backoff_doubles_to_its_bound():
     p = R.RetryPolicy()
     assert [p.wait(k) for k in (1, 2, 3, 6, 7, 100)] == [10, 20, 40, 320, 600, 600]
+
+
+def test_copies_handed_over_while_a_message_ends(spark):
+    """Counted by column expressions: a message that ends in a micro-batch and the copies that begin anew are two rows."""
+    bad, good = "{bad", _msg(1)
+    rows = [("b", bad, 2, 4, 0), ("b", bad, 3, None, None), ("b", bad, 1, None, None), ("g", good, 5, 2, 0), ("g", good, 7, None, None),
+            ("w", bad, 1, 2, 60), ("w", bad, 9, None, None), ("n", bad, 6, None, None)]
+    df = spark.createDataFrame(rows, "message_id string, raw string, copies long, attempts int, due int") \
+        .select("message_id", "raw", "copies", "attempts", F.timestamp_seconds(F.lit(1_700_000_000) + F.col("due")).alias("due_ts"), _at(10).alias("batch_ts"))
+    out = R.redelivered(df)
+    assert "Python" not in out._jdf.queryExecution().executedPlan().toString()
+    got = sorted((r.message_id, r.outcome, r.attempts, r.copies, r.all_copies, r.due_ts and int((r.due_ts - r.batch_ts).total_seconds())) for r in out.collect())
+    assert got == [("b", "dead", 5, 2, 2, None), ("b", "retry", 1, 4, 4, 10), ("g", "delivered", 3, 5, 5, None), ("g", "retry", 1, 7, 7, 10),
+                   ("n", "retry", 1, 6, 6, 10), ("w", "waiting", 2, 1, 10, 50)]
