@@ -3,10 +3,10 @@
 Documents are tokenised, ordered by id over range partitions and cut into
 shards of about ``SHARD_TOKENS`` ids. Each shard is compressed on its own by
 Re-Pair: the most frequent pair of neighbouring ids becomes a new symbol, again
-and again. A round replaces its ``PAIRS_PER_ROUND`` most frequent pairs at
-once, the more frequent first where two overlap, so every step is a pass of
-NumPy over the shard. There are at most ``ROUNDS`` rounds, fewer when no pair is
-frequent enough to pay, so a nonterminal stands for 8 ids at most.
+and again, until no pair is frequent enough to pay. A round replaces many pairs
+at once, the more frequent first where two overlap, so every step is a pass of
+NumPy over the places that may have changed. The first ``CHOOSY_ROUNDS`` rounds
+take the ``PAIRS_PER_ROUND`` most frequent pairs, the others all that are left.
 
 File format: one Parquet row per shard, in ascending order of the documents:
 
@@ -44,7 +44,8 @@ from .tokens import piece_tokenizer, tokenizer_path
 
 END_ID = 1
 SHARD_TOKENS = 1 << 21
-ROUNDS, PAIRS_PER_ROUND = 3, 16384
+#: Pairs replaced by each of the first rounds, so that the most frequent come first; the later rounds take all.
+CHOOSY_ROUNDS, PAIRS_PER_ROUND = 3, 16384
 #: A pair is replaced when it occurs so often; a rule costs three numbers.
 MIN_COUNT = 4
 HASH_BITS = 20
@@ -56,53 +57,115 @@ FILE = ("_g_part int, shard int, n_tokens long, first_symbol long, rules binary,
 
 # ---- Re-Pair of one shard ---------------------------------------------------
 
-def _frequent(seq: np.ndarray, limit: int, min_count: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """The most frequent neighbouring pairs, as first << 32 | second, most
-    frequent first, with the places where one begins and the pair's rank there.
+def _frequent(code: np.ndarray, free: np.ndarray, min_count: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """All pairs that occur ``min_count`` times or more, most frequent first,
+    with the indexes into ``code`` where one stands and the pair's rank there.
+    ``free`` tells the occurrences that count: of overlapping ones of a pair of
+    equal ids every second.
 
-    Pairs are counted by hash class. Where two share a class, the one that
-    comes last stands for it, so mostly the more frequent; its own occurrences
-    are what is counted. The other can still be taken in a later round.
+    Pairs are counted by hash class, one pair of each class at a time: the one
+    that comes last stands for its class, and the occurrences of the others go
+    on to the next turn while their class still has enough of them. So every
+    pair is counted exactly, without a sort.
     """
-    code = seq[:-1].astype(np.uint64) << np.uint64(32) | seq[1:]
     h = ((code * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - HASH_BITS)).astype(np.int64)
-    of_class = np.zeros(1 << HASH_BITS, np.uint64)
-    of_class[h] = code
-    own = of_class[h] == code
-    counts = np.bincount(h[own], minlength=1 << HASH_BITS)
-    top = np.flatnonzero(counts >= min_count)
-    top = top[np.lexsort((of_class[top], -counts[top]))][:limit]
-    rank_of = np.full(1 << HASH_BITS, -1, np.int32)
-    rank_of[top] = np.arange(len(top), dtype=np.int32)
-    at = np.flatnonzero(own & (rank_of[h] >= 0))
-    return of_class[top], at, rank_of[h[at]].astype(np.int64)
-
-
-def compress(ids: np.ndarray, rounds: int = ROUNDS, limit: int = PAIRS_PER_ROUND, min_count: int = MIN_COUNT,
+    pairs, counts, places, numbers, n = [], [], [], [], 0
+    left, h_left = np.flatnonzero(free), h[free]
+    while len(left):
+        enough = np.bincount(h_left, minlength=1 << HASH_BITS)[h_left] >= min_count
+        left, h_left = left[enough], h_left[enough]
+        if not len(left):
+            break
+        of_class = np.zeros(1 << HASH_BITS, np.uint64)
+        of_class[h_left] = code[left]
+        own = of_class[h_left] == code[left]
+        count = np.bincount(h_left[own], minlength=1 << HASH_BITS)
+        top = np.flatnonzero(count >= min_count)
+        number = np.full(1 << HASH_BITS, -1, np.int64)
+        number[top] = n + np.arange(len(top))
+        of_own = number[h_left[own]]
+        pairs.append(of_class[top])
+        counts.append(count[top])
+        places.append(left[own][of_own >= 0])
+        numbers.append(of_own[of_own >= 0])
+        n += len(top)
+        left, h_left = left[~own], h_left[~own]
+    if not n:
+        return np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64)
+    pair, count, at, number = np.concatenate(pairs), np.concatenate(counts), np.concatenate(places), np.concatenate(numbers)
+    order = np.lexsort((pair, -count))
+    rank_of = np.empty(n, np.int64)
+    rank_of[order] = np.arange(n)
+    return pair[order], at, rank_of[number]
+
+
+def compress(ids: np.ndarray, rounds: int | None = None, limit: int = PAIRS_PER_ROUND, min_count: int = MIN_COUNT,
              first_symbol: int = FIRST_SYMBOL) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(sequence, rules, lengths) of a shard's ids."""
+    """(sequence, rules, lengths) of a shard's ids.
+
+    Goes on until no pair occurs ``min_count`` times (without overlaps), where
+    Re-Pair ends, too; ``rounds`` bounds it for callers who want less. The first
+    ``CHOOSY_ROUNDS`` rounds take the ``limit`` most frequent pairs, the later
+    ones all that are frequent enough.
+
+    A pair's count only falls unless it holds a new symbol. So after the first
+    round only places next to new symbols and those of frequent pairs not
+    replaced yet are counted (``live``).
+    """
     if len(ids) and int(ids.max()) >= first_symbol:
         raise ValueError("an id is not below the first nonterminal")
     seq = np.array(ids, np.uint32)
     rules: list[np.ndarray] = []
-    length = np.ones(first_symbol, np.uint32)
-    for _ in range(rounds):
-        if len(seq) < 2:
-            break
-        pairs, at, rank = _frequent(seq, limit, min_count)
+    length = [np.ones(first_symbol, np.uint32)]
+    n_symbols, live, k = first_symbol, np.arange(max(len(seq) - 1, 0)), 0
+    while len(live) and (rounds is None or k < rounds):
+        code = seq[live].astype(np.uint64) << np.uint64(32) | seq[live + 1]
+        pairs, place, rank = _frequent(code, _every_second(seq, live), min_count)
         if not len(pairs):
             break
-        symbol = len(length) + np.arange(len(pairs), dtype=np.uint32)
+        taken, where = (rank < limit if k < CHOOSY_ROUNDS else np.ones(len(rank), bool)), live[place]
+        order = np.argsort(where[taken])
+        at, of = _disjoint(where[taken][order], rank[taken][order])
+        # A pair that overlaps with more frequent ones and is left with too few places waits.
+        kept = np.bincount(of, minlength=len(pairs)) >= min_count
+        at, of = at[kept[of]], of[kept[of]]
+        new = np.cumsum(kept) - 1
+        pairs = pairs[kept]
         left, right = (pairs >> np.uint64(32)).astype(np.int64), (pairs & np.uint64(0xFFFFFFFF)).astype(np.int64)
-        at, rank = _disjoint(at, rank)
-        seq[at] = symbol[rank]
-        gone = np.ones(len(seq), bool)
-        gone[at + 1] = False
-        seq = seq[gone]
+        seq[at] = (n_symbols + new[of]).astype(np.uint32)
+        gone = np.zeros(len(seq), bool)
+        gone[at + 1] = True
+        # Places still to look at: frequent pairs that stay, and both sides of a new symbol.
+        look = np.zeros(len(seq), bool)
+        look[where] = True
+        look[at] = True
+        # Overlapping occurrences of a pair of equal ids were not counted; they may count from now on.
+        look[live[code >> np.uint64(32) == (code & np.uint64(0xFFFFFFFF))]] = True
+        before = at - 1
+        before = before[before >= 0]
+        look[before] = True
+        look[before[gone[before]] - 1] = True          # two new symbols side by side
+        seq, look = seq[~gone], look[~gone]
+        live = np.flatnonzero(look[:-1])
         rules.append(np.stack([left, right], 1).astype(np.uint32))
-        length = np.concatenate([length, length[left] + length[right]])
+        every = np.concatenate(length)
+        length = [every, every[left] + every[right]]
+        n_symbols, k = n_symbols + len(pairs), k + 1
     table_ = np.concatenate(rules) if rules else np.zeros((0, 2), np.uint32)
-    return seq, table_, length[first_symbol:]
+    return seq, table_, np.concatenate(length)[first_symbol:]
+
+
+def _every_second(seq: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """False at places where a pair of equal ids overlaps the one before,
+    which counts: in a run of m equal ids the first, third, ... place counts."""
+    free = np.ones(len(at), bool)
+    equal = np.flatnonzero(seq[at] == seq[at + 1])
+    if len(equal):
+        place = at[equal]
+        start = np.flatnonzero(np.concatenate([[True], np.diff(place) != 1]) | np.concatenate([[True], seq[place[1:]] != seq[place[:-1]]]))
+        nth = np.arange(len(place)) - np.repeat(start, np.diff(np.append(start, len(place))))
+        free[equal[nth % 2 == 1]] = False
+    return free
 
 
 def _disjoint(at: np.ndarray, rank: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
