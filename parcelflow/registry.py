@@ -439,15 +439,16 @@ def r4_ordered(spark, d):
     b = b.withColumn("_batch", F.floor(F.datediff(late, F.lit("2024-01-01").cast("date")) / 7))
     b.write.partitionBy("_batch").parquet(f"{base}/arrivals")
     rows = spark.read.parquet(f"{base}/arrivals")
+    # As many files a week as the cluster writes at once, and as many a micro-batch: the batches don't become more with the rows.
+    files = max(4, spark.sparkContext.defaultParallelism)
     for n in sorted(r[0] for r in rows.select("_batch").distinct().collect()):      # weeks of the calendar
-        rows.where(F.col("_batch") == n).drop("_batch").write.mode("append").parquet(f"{base}/source")
-        last = rows.where(F.col("_batch") == n)
+        rows.where(F.col("_batch") == n).drop("_batch").repartition(files).write.mode("append").parquet(f"{base}/source")
     # A clock's tick long after the last event lets the watermark close what is left.
     tick = rows.agg(F.lit("clock").alias("parcel_id"), F.lit(0).cast("long").alias("sequence_no"), F.lit("c0").alias("event_id"), F.lit("TICK").alias("event_type"),
                     F.timestamp_add("DAY", F.lit(60), F.max("event_ts")).alias("event_ts"))
     tick.write.mode("append").parquet(f"{base}/source")
-    stream = spark.readStream.schema(last.drop("_batch").schema).option("maxFilesPerTrigger", 4).parquet(f"{base}/source")
-    reorder.start_ordered(spark, stream, f"{base}/ordered", f"{base}/_chk", "14 days", partitions=4).awaitTermination()
+    stream = spark.readStream.schema(rows.drop("_batch").schema).option("maxFilesPerTrigger", files).parquet(f"{base}/source")
+    reorder.start_ordered(spark, stream, f"{base}/ordered", f"{base}/_chk", "14 days", partitions=files).awaitTermination()
     return spark.read.parquet(f"{base}/ordered").where("parcel_id <> 'clock'").select("parcel_id", "position", "sequence_no", "event_id")
 
 

@@ -124,3 +124,19 @@ def test_key_leaves_and_returns(spark, tmp_path):
     assert H.read_current(spark, path).count() == 4          # what left the source stays open
     with pytest.raises(ValueError):
         H.run_snapshot(spark, path, spark.createDataFrame([(None, "1", "s")], "k string, v string, seen string"), "k", ["v"], "2024-01-05 00:00:00")
+
+
+def test_parcels_of_one_cell_are_one_state_call():
+    """Parcels that share a cell cost one read and one write of the state, and are ordered each on its own."""
+    from types import SimpleNamespace as NS
+    calls, kept = [], {}
+    state = NS(get=lambda: calls.append("get") or kept.get("v"), update=lambda v: calls.append("update") or kept.update(v=v))
+    buffer = R.ReorderBuffer()
+    buffer.init(NS(getValueState=lambda *a: state, registerTimer=lambda ms: calls.append(ms)))
+    rows = [NS(parcel_id=f"p{p}", sequence_no=n, event_us=1_000_000 * n + 1, event_id=f"{p}-{n}", event_type="T") for n in (3, 1, 0, 1) for p in range(50)]
+    out = list(buffer.handleInputRows((0,), iter(rows), None))
+    assert calls == ["get", "update", 3001]
+    assert sorted((r.parcel_id, r.position, r.sequence_no) for r in out) == sorted((f"p{p}", n, n) for p in range(50) for n in (0, 1))
+    clock = lambda ms: (NS(getCurrentWatermarkInMs=lambda: ms), NS(getExpiryTimeInMs=lambda: ms))
+    assert list(buffer.handleExpiredTimer((0,), *clock(2999))) == []
+    assert {(r.position, r.sequence_no) for r in buffer.handleExpiredTimer((0,), *clock(3001))} == {(2, 3)}
