@@ -366,15 +366,19 @@ def c12_ingest_counts(spark, d):
     return each[0].unionByName(each[1])
 
 
-def _week_files(spark, d, base) -> str:
-    """Bronze rows written as one file per week of January, in time order,
-    so a file source with maxFilesPerTrigger=1 replays them week by week."""
-    src = f"{base}/bronze_src"
+def _weeks(spark, d) -> list:
+    """Bronze rows of each week of January, in time order."""
     b = bronze_from_dir(spark, d).withColumn("__wk", F.floor((F.dayofmonth("event_ts") - 1) / 7))
-    for wk in range(5):
-        (b.filter(F.col("__wk") == wk).drop("__wk").coalesce(1)
-           .write.mode("append").parquet(src))
-    return src
+    return [b.filter(F.col("__wk") == wk).drop("__wk") for wk in range(5)]
+
+
+def _replay(spark, src, arrivals, start) -> None:
+    """Land each DataFrame in turn and let the query that ``start(stream)`` starts
+    (again, from its checkpoint) take it as one micro-batch, however many files
+    it is: they are written and read by all tasks."""
+    for rows in arrivals:
+        rows.write.mode("append").parquet(src)
+        start(spark.readStream.schema(bronze_schema("hot")).parquet(src)).awaitTermination()
 
 
 def r6_stream_silver(spark, d):
@@ -382,10 +386,7 @@ def r6_stream_silver(spark, d):
     micro-batch), merged by event_id."""
     configure(spark)
     base = scratch_path(spark, "r6_silver")
-    src = _week_files(spark, d, base)
-    stream = spark.readStream.schema(bronze_schema("hot")).option("maxFilesPerTrigger", 1).parquet(src)
-    q = streaming.start_silver(stream, f"{base}/silver", f"{base}/_chk/silver", AS_OF, DAYS)
-    q.awaitTermination()
+    _replay(spark, f"{base}/bronze_src", _weeks(spark, d), lambda stream: streaming.start_silver(stream, f"{base}/silver", f"{base}/_chk/silver", AS_OF, DAYS))
     return spark.read.parquet(f"{base}/silver")
 
 
@@ -396,10 +397,9 @@ def _late_tables(spark, d, name) -> str:
     b = bronze_from_dir(spark, d)
     turn = F.pmod(F.crc32(F.concat("event_id", F.col("event_ts").cast("string")).cast("binary")), F.lit(3))
     b.withColumn("_turn", turn).write.partitionBy("_turn").parquet(f"{base}/arrivals")
-    for n in range(3):
-        spark.read.parquet(f"{base}/arrivals").where(F.col("_turn") == n).drop("_turn").coalesce(1).write.mode("append").parquet(f"{base}/source")
-    stream = spark.readStream.schema(bronze_schema("hot")).option("maxFilesPerTrigger", 1).parquet(f"{base}/source")
-    refresh.start_refresh(stream, base, f"{base}/_chk", AS_OF, DAYS, ("fact_depot_visits",)).awaitTermination()
+    arrivals = spark.read.parquet(f"{base}/arrivals")
+    _replay(spark, f"{base}/source", [arrivals.where(F.col("_turn") == n).drop("_turn") for n in range(3)],
+            lambda stream: refresh.start_refresh(stream, base, f"{base}/_chk", AS_OF, DAYS, ("fact_depot_visits",)))
     return base
 
 
@@ -417,12 +417,10 @@ def r7_stream_dedup(spark, d):
     """Redelivered copies removed in the stream (watermark 1 day)."""
     configure(spark)
     base = scratch_path(spark, "r7_dedup")
-    src = _week_files(spark, d, base)
-    stream = spark.readStream.schema(bronze_schema("hot")).option("maxFilesPerTrigger", 1).parquet(src)
-    out = streaming.dedup_stream(stream, "1 day").select("event_id", "parcel_id", "event_type", "event_ts")
-    q = (out.writeStream.format("parquet").option("checkpointLocation", f"{base}/_chk/dedup")
-         .outputMode("append").trigger(availableNow=True).start(f"{base}/dedup"))
-    q.awaitTermination()
+    _replay(spark, f"{base}/bronze_src", _weeks(spark, d), lambda stream: (
+        streaming.dedup_stream(stream, "1 day").select("event_id", "parcel_id", "event_type", "event_ts")
+        .writeStream.format("parquet").option("checkpointLocation", f"{base}/_chk/dedup")
+        .outputMode("append").trigger(availableNow=True).start(f"{base}/dedup")))
     return spark.read.parquet(f"{base}/dedup").select("event_id", "parcel_id", "event_type")
 
 
