@@ -48,7 +48,6 @@ SHARD_TOKENS = 1 << 21
 CHOOSY_ROUNDS, PAIRS_PER_ROUND = 3, 16384
 #: A pair is replaced when it occurs so often; a rule costs three numbers.
 MIN_COUNT = 4
-HASH_BITS = 20
 FIRST_SYMBOL = 1 << 16
 
 FILE = ("_g_part int, shard int, n_tokens long, first_symbol long, rules binary, lengths binary, width int, sequence binary, "
@@ -57,46 +56,38 @@ FILE = ("_g_part int, shard int, n_tokens long, first_symbol long, rules binary,
 
 # ---- Re-Pair of one shard ---------------------------------------------------
 
-def _frequent(code: np.ndarray, free: np.ndarray, min_count: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """All pairs that occur ``min_count`` times or more, most frequent first,
-    with the indexes into ``code`` where one stands and the pair's rank there.
-    ``free`` tells the occurrences that count: of overlapping ones of a pair of
-    equal ids every second.
+def _frequent(first: np.ndarray, second: np.ndarray, at: np.ndarray, min_count: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """All pairs (first, second) that occur ``min_count`` times or more, most
+    frequent first, as ``first << 32 | second``, with the places ``at`` where
+    one stands and the pair's rank there.
 
-    Pairs are counted by hash class, one pair of each class at a time: the one
-    that comes last stands for its class, and the occurrences of the others go
-    on to the next turn while their class still has enough of them. So every
-    pair is counted exactly, without a sort.
+    Pairs are counted exactly: sorted together with their places, in one number
+    where the three fit in 64 bits.
     """
-    h = ((code * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - HASH_BITS)).astype(np.int64)
-    pairs, counts, places, numbers, n = [], [], [], [], 0
-    left, h_left = np.flatnonzero(free), h[free]
-    while len(left):
-        enough = np.bincount(h_left, minlength=1 << HASH_BITS)[h_left] >= min_count
-        left, h_left = left[enough], h_left[enough]
-        if not len(left):
-            break
-        of_class = np.zeros(1 << HASH_BITS, np.uint64)
-        of_class[h_left] = code[left]
-        own = of_class[h_left] == code[left]
-        count = np.bincount(h_left[own], minlength=1 << HASH_BITS)
-        top = np.flatnonzero(count >= min_count)
-        number = np.full(1 << HASH_BITS, -1, np.int64)
-        number[top] = n + np.arange(len(top))
-        of_own = number[h_left[own]]
-        pairs.append(of_class[top])
-        counts.append(count[top])
-        places.append(left[own][of_own >= 0])
-        numbers.append(of_own[of_own >= 0])
-        n += len(top)
-        left, h_left = left[~own], h_left[~own]
-    if not n:
-        return np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64)
-    pair, count, at, number = np.concatenate(pairs), np.concatenate(counts), np.concatenate(places), np.concatenate(numbers)
-    order = np.lexsort((pair, -count))
-    rank_of = np.empty(n, np.int64)
-    rank_of[order] = np.arange(n)
-    return pair[order], at, rank_of[number]
+    if not len(at):
+        return np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int32)
+    symbol, place = (np.uint64(int(x).bit_length()) for x in (max(first.max(), second.max()), at.max()))
+    code = first.astype(np.uint64)
+    code <<= symbol
+    code |= second
+    if 2 * symbol + place <= 64:
+        code <<= place
+        code |= at.astype(np.uint64)
+        code.sort()
+        at = (code & np.uint64((1 << int(place)) - 1)).astype(np.int64)
+        code >>= place
+    else:
+        order = np.argsort(code)
+        at, code = at[order], code[order]
+    start = np.flatnonzero(np.concatenate([[True], code[1:] != code[:-1]]))
+    count = np.diff(start, append=len(code))
+    enough = count >= min_count
+    pair, often = code[start[enough]], count[enough]
+    order = np.argsort(-often, kind="stable")          # of equal counts the smaller pair
+    rank = np.empty(len(pair), np.int32)
+    rank[order] = np.arange(len(pair), dtype=np.int32)
+    pair = pair[order]
+    return pair >> symbol << np.uint64(32) | pair & np.uint64((1 << int(symbol)) - 1), at[np.flatnonzero(np.repeat(enough, count))], np.repeat(rank, often)
 
 
 def compress(ids: np.ndarray, rounds: int | None = None, limit: int = PAIRS_PER_ROUND, min_count: int = MIN_COUNT,
@@ -119,33 +110,40 @@ def compress(ids: np.ndarray, rounds: int | None = None, limit: int = PAIRS_PER_
     length = [np.ones(first_symbol, np.uint32)]
     n_symbols, live, k = first_symbol, np.arange(max(len(seq) - 1, 0)), 0
     while len(live) and (rounds is None or k < rounds):
-        code = seq[live].astype(np.uint64) << np.uint64(32) | seq[live + 1]
-        pairs, place, rank = _frequent(code, _every_second(seq, live), min_count)
+        first, second = (seq[:-1], seq[1:]) if len(live) == len(seq) - 1 else (seq[live], seq[live + 1])
+        equal = np.flatnonzero(first == second)
+        twins = live[equal]
+        over = equal[_overlapping(seq, twins)]
+        if len(over):
+            free = np.ones(len(live), bool)
+            free[over] = False
+            free = np.flatnonzero(free)
+            pairs, place, rank = _frequent(first[free], second[free], live[free], min_count)
+        else:
+            pairs, place, rank = _frequent(first, second, live, min_count)
         if not len(pairs):
             break
-        taken, where = (rank < limit if k < CHOOSY_ROUNDS else np.ones(len(rank), bool)), live[place]
-        order = np.argsort(where[taken])
-        at, of = _disjoint(where[taken][order], rank[taken][order])
+        rank_at = np.full(len(seq), -1, np.int32)
+        rank_at[place] = rank
+        look = rank_at >= 0
+        at = np.flatnonzero(look & (rank_at < limit) if k < CHOOSY_ROUNDS else look)
+        at, of = _disjoint(at, rank_at[at])
         # A pair that overlaps with more frequent ones and is left with too few places waits.
         kept = np.bincount(of, minlength=len(pairs)) >= min_count
-        at, of = at[kept[of]], of[kept[of]]
-        new = np.cumsum(kept) - 1
+        stays = np.flatnonzero(kept[of])
+        at, of = at[stays], of[stays]
+        new = (n_symbols - 1 + np.cumsum(kept)).astype(np.uint32)
         pairs = pairs[kept]
         left, right = (pairs >> np.uint64(32)).astype(np.int64), (pairs & np.uint64(0xFFFFFFFF)).astype(np.int64)
-        seq[at] = (n_symbols + new[of]).astype(np.uint32)
-        gone = np.zeros(len(seq), bool)
-        gone[at + 1] = True
+        seq[at] = new[of]
+        here = np.ones(len(seq), bool)
+        here[at + 1] = False
         # Places still to look at: frequent pairs that stay, and both sides of a new symbol.
-        look = np.zeros(len(seq), bool)
-        look[where] = True
-        look[at] = True
+        look[at[1:] - 1 if len(at) and at[0] == 0 else at - 1] = True
         # Overlapping occurrences of a pair of equal ids were not counted; they may count from now on.
-        look[live[code >> np.uint64(32) == (code & np.uint64(0xFFFFFFFF))]] = True
-        before = at - 1
-        before = before[before >= 0]
-        look[before] = True
-        look[before[gone[before]] - 1] = True          # two new symbols side by side
-        seq, look = seq[~gone], look[~gone]
+        look[twins] = True
+        left_over = np.flatnonzero(here)
+        seq, look = seq[left_over], look[left_over]
         live = np.flatnonzero(look[:-1])
         rules.append(np.stack([left, right], 1).astype(np.uint32))
         every = np.concatenate(length)
@@ -155,44 +153,51 @@ def compress(ids: np.ndarray, rounds: int | None = None, limit: int = PAIRS_PER_
     return seq, table_, np.concatenate(length)[first_symbol:]
 
 
-def _every_second(seq: np.ndarray, at: np.ndarray) -> np.ndarray:
-    """False at places where a pair of equal ids overlaps the one before,
-    which counts: in a run of m equal ids the first, third, ... place counts."""
-    free = np.ones(len(at), bool)
-    equal = np.flatnonzero(seq[at] == seq[at + 1])
-    if len(equal):
-        place = at[equal]
-        start = np.flatnonzero(np.concatenate([[True], np.diff(place) != 1]) | np.concatenate([[True], seq[place[1:]] != seq[place[:-1]]]))
-        nth = np.arange(len(place)) - np.repeat(start, np.diff(np.append(start, len(place))))
-        free[equal[nth % 2 == 1]] = False
-    return free
+def _overlapping(seq: np.ndarray, place: np.ndarray) -> np.ndarray:
+    """Of the ``place``s of pairs of equal ids, ascending, the indexes of those
+    that overlap the one before, which counts: in a run of m equal ids the
+    first, third, ... place counts."""
+    if not len(place):
+        return np.zeros(0, np.int64)
+    start = np.flatnonzero(np.concatenate([[True], np.diff(place) != 1]) | np.concatenate([[True], seq[place[1:]] != seq[place[:-1]]]))
+    nth = np.arange(len(place)) - np.repeat(start, np.diff(start, append=len(place)))
+    return np.flatnonzero(nth % 2 == 1)
 
 
 def _disjoint(at: np.ndarray, rank: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Occurrences that do not overlap: of neighbours the more frequent pair
-    wins; within a run of equal rank every second one, from the left."""
-    while len(at) > 1:
-        touch = at[1:] == at[:-1] + 1
-        if not touch.any():
-            break
-        beaten = np.zeros(len(at), bool)
-        beaten[1:] |= touch & (rank[:-1] < rank[1:])
-        beaten[:-1] |= touch & (rank[1:] < rank[:-1])
-        same = np.concatenate([[False], touch & (rank[1:] == rank[:-1])])
-        start = np.flatnonzero(~same)
-        place = np.arange(len(at)) - np.repeat(start, np.diff(np.append(start, len(at))))
-        # An occurrence goes when a neighbour that itself stays beats it.
-        odd = same & (place % 2 == 1)
-        lost = odd | beaten
-        safe = ~lost
-        next_to_safe = np.zeros(len(at), bool)
-        next_to_safe[1:] |= touch & safe[:-1]
-        next_to_safe[:-1] |= touch & safe[1:]
-        drop = lost & next_to_safe
-        if not drop.any():
-            drop = lost
-        at, rank = at[~drop], rank[~drop]
-    return at, rank
+    """Occurrences that do not overlap, of ascending ones: of neighbours the
+    more frequent pair wins; within a run of equal rank every second one, from
+    the left.
+
+    An occurrence that no neighbour beats stays and its neighbours go, so each
+    turn looks at the undecided ones only. The smallest rank of a row of
+    neighbours is never beaten, so every turn decides some.
+    """
+    stays, todo, todo_rank = np.zeros(len(at), bool), np.arange(len(at)), rank
+    place = at
+    while len(todo):
+        touch = place[1:] == place[:-1] + 1
+        same = touch & (todo_rank[1:] == todo_rank[:-1])
+        less = todo_rank[:-1] < todo_rank[1:]
+        lost = np.zeros(len(todo), bool)
+        lost[1:] = touch & less
+        lost[:-1] |= touch & ~less & ~same
+        again = np.flatnonzero(same) + 1
+        if len(again):
+            # Which of its run of equal rank a place is: every second one is lost.
+            start = again - 1
+            opens = np.concatenate([[True], np.diff(again) != 1])
+            first = start[opens][np.cumsum(opens) - 1]
+            lost[again[(again - first) % 2 == 1]] = True
+        stays[todo[np.flatnonzero(~lost)]] = True
+        # Neighbours of one that stays go.
+        open_ = lost.copy()
+        open_[1:] &= lost[:-1] | ~touch
+        open_[:-1] &= lost[1:] | ~touch
+        rest = np.flatnonzero(open_)
+        todo, place, todo_rank = todo[rest], place[rest], todo_rank[rest]
+    kept = np.flatnonzero(stays)
+    return at[kept], rank[kept]
 
 
 def expand(seq: np.ndarray, rules: np.ndarray, first_symbol: int = FIRST_SYMBOL) -> np.ndarray:

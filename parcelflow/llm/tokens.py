@@ -9,9 +9,12 @@ its place there turns whole slices of texts into ids with NumPy gathers.
 from __future__ import annotations
 
 import json
+import os
 import re
 from array import array
+from codecs import charmap_decode
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -40,13 +43,14 @@ def tokenizer_path(name: str = TOKENIZER) -> str:
     return public_tokenizers.path(name)
 
 
-def _byte_letters() -> dict[int, str]:
-    """The letters by which byte-level vocabularies name the bytes of the
-    non-ASCII letters of ``PLAIN``: bytes 0xA1-0xAC and 0xAE-0xFF by the code
-    point of the same number, the others by 256 and up in order of the byte."""
+def _byte_letters() -> str:
+    """The letters by which byte-level vocabularies name the bytes: printable
+    ASCII, 0xA1-0xAC and 0xAE-0xFF by the code point of the same number, the
+    others by 256 and up in order of the byte. A space is left as it is, to
+    part words."""
     own = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
     name = {b: chr(b) for b in own} | {b: chr(256 + k) for k, b in enumerate(sorted(set(range(256)) - set(own)))}
-    return {c: "".join(name[b] for b in chr(c).encode("utf-8")) for c in [*range(0xDF, 0x100), 0x153]}
+    return "".join(" " if b == 0x20 else name[b] for b in range(256))
 
 
 class PieceTokenizer:
@@ -69,6 +73,7 @@ class PieceTokenizer:
         self.end = parts["model"].get("end_of_word_suffix") or ""
         self.lower = bool(lowers and self.end)
         self.kept, self.first_bits = kept, bits
+        self.signs = {b"": -1}
         self._clear()
         if self.lower:
             parts |= {"normalizer": None, "pre_tokenizer": {"type": "CharDelimiterSplit", "delimiter": " "}, "added_tokens": [], "post_processor": None}
@@ -77,7 +82,7 @@ class PieceTokenizer:
             self.letters = _byte_letters()
             self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
             self.ends[[k for t, k in vocabulary.items() if t.endswith(self.end)]] = True
-            self.signs = {c.encode(): int(vocabulary[c + self.end]).to_bytes(4, "little") for c in ".,;:!?"} | {b"": b""}
+            self.signs |= {c.encode(): int(vocabulary[c + self.end]) for c in ".,;:!?"}
 
     def _clear(self) -> None:
         self._empty_table(self.first_bits)
@@ -129,15 +134,13 @@ class PieceTokenizer:
             left[won] = False
             keys, places, at = keys[left], places[left], (at[left] + 1) & mask
 
-    def _store(self, keys: np.ndarray, encoded: list[bytes]) -> None:
-        """Put the ids of new pieces into the pool and the table."""
-        ids = np.frombuffer(b"".join(encoded), np.uint32)
+    def _store(self, keys: np.ndarray, ids: np.ndarray, length: np.ndarray) -> None:
+        """Put the ids of new pieces, ``length`` of each, into the pool and the table."""
         n, size = self.n_pieces + len(keys), self.n_pool + len(ids)
         while len(self.start) < n:
             self.start, self.length = np.resize(self.start, 2 * len(self.start)), np.resize(self.length, 2 * len(self.length))
         while len(self.pool) < size:
             self.pool = np.resize(self.pool, 2 * len(self.pool))
-        length = np.fromiter(map(len, encoded), np.int64, len(encoded)) // 4
         self.pool[self.n_pool:size] = ids
         self.length[self.n_pieces:n] = length
         self.start[self.n_pieces:n] = self.n_pool + np.cumsum(length) - length
@@ -158,7 +161,7 @@ class PieceTokenizer:
                 fresh, first = np.unique(keys[new], return_index=True)
                 at = new[first]
                 cased = raw.lower() if self.lower else raw
-                self._store(fresh, self.encode([cased[a:b] for a, b in zip(w.start[at].tolist(), w.end[at].tolist())]))
+                self._store(fresh, *self.encode([cased[a:b] for a, b in zip(w.start[at].tolist(), w.end[at].tolist())]))
                 place[new] = self._find(keys[new])
             length = self.length[place]
             ends = np.cumsum(length)
@@ -180,32 +183,46 @@ class PieceTokenizer:
             parts.append(np.array(self.library.encode(t, add_special_tokens=False).ids, np.uint32) if "<|" in t else ids[bounds[k]:bounds[k + 1]])
         return np.concatenate(parts), np.concatenate([[0], np.cumsum([len(p) for p in parts])])
 
-    def encode(self, pieces: list[bytes]) -> list[bytes]:
-        """Ids of each piece as little-endian 32-bit bytes."""
+    def encode(self, pieces: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of the pieces, one behind the other, and how many each has."""
         rows = PLAIN.findall(b"\n".join(pieces)) if self.lower else [(b"", b"", p) for p in pieces]
         if len(rows) != len(pieces):
             raise ValueError("a piece holds a line end")
-        words = dict.fromkeys(w for w, _, _ in rows if w)
-        # Words of ASCII letters have the letters of their bytes already.
-        of: dict[bytes, bytes] = {}
-        for simple in (True, False):
-            some = [w for w in words if w.isascii() == simple]
-            runs = [some[k:k + RUN] for k in range(0, len(some), RUN)]
-            texts = [b" ".join(run).decode("utf-8") for run in runs]
-            encoded = self.merges.encode_batch_fast(texts if simple else [t.translate(self.letters) for t in texts], add_special_tokens=False) if runs else []
-            for run, e in zip(runs, encoded):
-                ids = array("I", e.ids)
-                cuts = (4 * np.flatnonzero(self.ends[np.frombuffer(ids, np.uint32)]) + 4).tolist()
-                if len(cuts) != len(run):
-                    raise ValueError("a word's last token is not marked as its end")
-                raw = ids.tobytes()
-                of.update(zip(run, [raw[a:b] for a, b in zip([0, *cuts], cuts)]))
-        rest = list(dict.fromkeys(r for _, _, r in rows if r))
-        other = {p: array("I", e.ids).tobytes() for p, e in zip(rest, self.library.encode_batch_fast([p.decode("utf-8") for p in rest], add_special_tokens=False))}
-        signs = self.signs if self.lower else {}
-        return [of[w] + signs[c] if w else other[r] for w, c, r in rows]
+        words, rest = dict.fromkeys(w for w, _, _ in rows if w), dict.fromkeys(r for _, _, r in rows if r)
+        ids, lengths = array("I"), []
+        if words:
+            # Words go to the merges in runs, by the letters of their bytes.
+            plain = list(words)
+            runs = [plain[k:k + RUN] for k in range(0, len(plain), RUN)]
+            encoded = self.merges.encode_batch_fast([charmap_decode(b" ".join(run), "strict", self.letters)[0] for run in runs], add_special_tokens=False)
+            n_ids = []
+            for e in encoded:
+                ids.fromlist(e.ids)
+                n_ids.append(len(ids))
+            cuts = np.flatnonzero(self.ends[np.frombuffer(ids, np.uint32)]) + 1
+            if np.searchsorted(cuts, n_ids, side="right").tolist() != np.cumsum([len(run) for run in runs]).tolist() or cuts[-1] != n_ids[-1]:
+                raise ValueError("a word's last token is not marked as its end")
+            lengths.append(np.diff(cuts, prepend=0))
+        others = [e.ids for e in self.library.encode_batch_fast([p.decode("utf-8") for p in rest], add_special_tokens=False)] if rest else []
+        for other in others:
+            ids.fromlist(other)
+        lengths.append(np.fromiter(map(len, others), np.int64, len(others)))
+        length = np.concatenate(lengths)
+        start = np.cumsum(length) - length
+        number = {p: k for k, p in enumerate(chain(words, rest))}
+        of = np.fromiter((number[w or r] for w, _, r in rows), np.int64, len(rows))
+        sign = np.fromiter((self.signs[c] for _, c, _ in rows), np.int64, len(rows))
+        many = length[of] + (sign >= 0)
+        ends = np.cumsum(many)
+        ids.append(0)               # the place behind the last, where a sign is put
+        out = np.frombuffer(ids, np.uint32)[np.repeat(start[of] - (ends - many), many) + np.arange(ends[-1] if len(ends) else 0)]
+        signed = np.flatnonzero(sign >= 0)
+        out[ends[signed] - 1] = sign[signed]
+        return out, many
 
 
 def piece_tokenizer(path: str) -> PieceTokenizer:
-    """The worker's own, one at a time."""
+    """The worker's own, one at a time. A task has one core, so the library's
+    threads, one for each of the machine's, stay off."""
+    os.environ["TOKENIZERS_PARALLELISM"] = "false"
     return keep(("pieces", path), lambda: PieceTokenizer(path))

@@ -2,6 +2,7 @@
 
 import os
 import sys
+import tracemalloc
 import zlib
 
 import numpy as np
@@ -290,3 +291,52 @@ def test_repair_goes_on_until_no_pair_pays():
                 if pair[0] != pair[1] or last.get(pair) != i - 1:
                     last[pair], count[pair] = i, count.get(pair, 0) + 1
             assert max(count.values(), default=0) < R.MIN_COUNT
+
+
+def test_pairs_are_counted_exactly_whatever_the_width_of_the_symbols():
+    """Counts, order and places against a plain count; symbols too wide for one 64-bit number with their place go another way."""
+    rng = np.random.default_rng(7)
+    for scale in (1, 5000, 1 << 22, (1 << 29) - 1):
+        for n in (0, 1, 400):
+            x, y = (rng.integers(0, 8, (2, n)) * scale).astype(np.uint32)
+            at = np.sort(rng.choice(1 << 21, n, replace=False))
+            pairs, places, rank = R._frequent(x, y, at, 4)
+            of = {}
+            for a, b, k in zip(x.tolist(), y.tolist(), at.tolist()):
+                of.setdefault(a << 32 | b, []).append(k)
+            want = sorted((p for p in of if len(of[p]) >= 4), key=lambda p: (-len(of[p]), p))
+            assert pairs.tolist() == want
+            assert sorted(zip(rank.tolist(), places.tolist())) == [(k, i) for k, p in enumerate(want) for i in of[p]]
+
+
+def test_of_neighbouring_places_the_more_frequent_stays():
+    """No two neighbours stay, and what goes has a neighbour of no larger rank that stays; a run of equal rank keeps every second."""
+    rng = np.random.default_rng(8)
+    for _ in range(300):
+        at = np.flatnonzero(rng.random(60) < 0.8)
+        rank = rng.integers(0, int(rng.integers(1, 9)), len(at)).astype(np.int32)
+        stays = dict(zip(*(v.tolist() for v in R._disjoint(at, rank))))
+        for k, r in zip(at.tolist(), rank.tolist()):
+            beside = [stays[j] for j in (k - 1, k + 1) if j in stays]
+            assert not beside and stays[k] == r if k in stays else min(beside) <= r
+    assert R._disjoint(np.arange(5, 12), np.zeros(7, np.int32))[0].tolist() == [5, 7, 9, 11]
+
+
+def test_rounds_cost_by_the_places_looked_at():
+    """No table of all hash classes is built anew in every round, however few places are left."""
+    x = np.tile(np.arange(1000, dtype=np.uint32), 4)
+    tracemalloc.start()
+    seq, rules, _ = R.compress(x)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert (R.expand(seq, rules) == x).all() and peak < 4 << 20
+
+
+def test_words_of_every_plain_letter():
+    """Words of any letters that skip the normaliser, with and without a sign, among pieces that don't; no thread of the library's own."""
+    t = piece_tokenizer(PATH)
+    letters = [chr(c) for c in [*range(ord("a"), ord("z") + 1), *range(0xDF, 0x100), 0x153]]
+    pieces = [w + s for x in letters for w in (x, "a" + x + "n") for s in ("", ".", "?", "!!", "$$$")] + ["ÉtÉ", "10", "日"]
+    ids, length = t.encode([p.encode() for p in pieces])
+    assert [v.tolist() for v in np.split(ids, np.cumsum(length)[:-1])] == [C.library_ids(p, PATH) for p in pieces]
+    assert [len(v) for v in t.encode([])] == [0, 0] and os.environ["TOKENIZERS_PARALLELISM"] == "false"
