@@ -1,6 +1,10 @@
 """Rejected messages are delivered again, pass when they can, and are set aside after five failures."""
 
 import json
+import os
+import subprocess
+import sys
+import textwrap
 
 from pyspark.sql import functions as F
 
@@ -64,3 +68,24 @@ def test_copies_handed_over_while_a_message_ends(spark):
     got = sorted((r.message_id, r.outcome, r.attempts, r.copies, r.all_copies, r.due_ts and int((r.due_ts - r.batch_ts).total_seconds())) for r in out.collect())
     assert got == [("b", "dead", 5, 2, 2, None), ("b", "retry", 1, 4, 4, 10), ("g", "delivered", 3, 5, 5, None), ("g", "retry", 1, 7, 7, 10),
                    ("n", "retry", 1, 6, 6, 10), ("w", "waiting", 2, 1, 10, 50)]
+
+
+def test_a_partition_larger_than_memory(tmp_path):
+    """Half a GB of rejected texts in one shuffle partition pass through a JVM of 512 MB."""
+    job = """
+        import sys
+        from pyspark.sql import functions as F
+        from parcelflow.session import build_session
+        from parcelflow.streaming import redelivery as R
+        tmp = sys.argv[1]
+        spark = build_session("local[1]", 1, extra={"spark.driver.memory": "512m", "spark.local.dir": f"{tmp}/local"})
+        text = F.concat(F.lit("{bad"), F.col("id"), F.repeat(F.lit("x"), F.lit(8000)))
+        spark.range(64_000).select(F.col("id").cast("string").alias("message_id"), text.alias("raw"), F.lit(1).cast("long").alias("copies")).write.parquet(f"{tmp}/nack")
+        R.start_redelivery(spark, f"{tmp}/nack", f"{tmp}/again", f"{tmp}/chk").awaitTermination()
+        log = R.read_log(spark, f"{tmp}/again").groupBy("outcome", "attempts").agg(F.sum("copies").alias("n"), F.countDistinct("message_id").alias("ids")).collect()
+        print("LOG", *map(tuple, log))
+        """
+    env = {**os.environ, "PYTHONPATH": os.path.dirname(os.path.dirname(os.path.abspath(__file__)))}
+    done = subprocess.run([sys.executable, "-c", textwrap.dedent(job), str(tmp_path)], env=env, capture_output=True, text=True, timeout=600)
+    assert "LOG ('retry', 1, 64000, 64000)" in done.stdout, done.stderr[-3000:]
+    assert not (tmp_path / "again" / "outcomes" / "batch_id=0").exists()
